@@ -33,7 +33,7 @@ _NUMERALS = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "one": 1, "two": 2, "th
 _LEAD = r"^[\s(\[]*(?:level\s+)?(?:t(?:ier)?[\s.\-]*([0-9]+)|tier[\s.\-]*(iii|ii|iv|i|v|one|two|three|four|five|[a-z]+)(?=[^a-z]*$))(?![a-z0-9])[\s:.,\-–—()\[\]]*"
 _TAIL = r"[\[(]\s*t(?:ier)?[\s.\-]*([0-9])\s*[\])]\s*$"
 _REMARKS = r"[(\[][^()\[\]]*\d{4}[^()\[\]]*[)\]]|,?\s*(?:latest|new|old|first|second|third|revised|updated)\s+(?:edition|version)\s*$|[\s,]+(?:accessed|retrieved|dated|as of)\b.*$|[\s,—–-]+pp?\.\s*\d+.*$|,\s*copy\s*$"
-_OPENERS = r"^(?:(?:cf|see|from|source|via|per|according to|the|an?)[\s.:]+)+"
+_OPENERS = r"^(?:(?:cf|see|from|source|via|according to|the|an?)[\s.:]+)+"
 
 
 def plain_text(column):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from agrolith.llm import canonical
+from agrolith.llm import canonical, names
 from agrolith.sources.tables import once, table
 
 
@@ -14,5 +15,15 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.join(mapped.withColumnRenamed("text", "tier"), "tier").select("cell_id", "ref_id")
 
 
-QUERIES = {"p4_found": p4_found}
+def _typed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """subject, field, text of the leads and names of both copies of the register."""
+    both = [table(spark, sf_dir, t).select("subject", F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in ("lead", "name")]))) for t in ("register_entries", "register_copy")]
+    return both[0].unionByName(both[1])
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.link_variants(_typed_names(spark, sf_dir))
+
+
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found}
 ORACLES: dict[str, str] = {}
