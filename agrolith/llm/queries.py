@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolith.llm import canonical, names
+from agrolith.llm import canonical, encode, names, pack
 from agrolith.sources.tables import once, table
 
 
@@ -25,5 +25,21 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.link_variants(_typed_names(spark, sf_dir))
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode.encode(table(spark, sf_dir, "documents"))
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in its container or containers, for each budget."""
+    budgets = table(spark, sf_dir, "token_budgets")
+    documents = table(spark, sf_dir, "documents").select("doc_id", encode.token_count(F.col("text")).alias("n_tokens"))
+    known = [(r["budget_id"], r["capacity"]) for r in budgets.orderBy("budget_id").collect()]  # fixed table
+    return pack.fill_by_budget(documents, known, "doc_id", "n_tokens")
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.fill_report(p9_containers(spark, sf_dir), table(spark, sf_dir, "token_budgets"))
+
+
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill}
 ORACLES: dict[str, str] = {}
