@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolith.llm import canonical, encode, names, pack
+from agrolith.llm import canonical, encode, names, pack, quality
 from agrolith.sources.tables import once, table
 
 
@@ -41,5 +41,14 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.fill_report(p9_containers(spark, sf_dir), table(spark, sf_dir, "token_budgets"))
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.kinds(table(spark, sf_dir, "documents"))
+
+
+def p10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its statistics and its kind."""
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_quality": p10_quality}
 ORACLES: dict[str, str] = {}
