@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from agrolith.session import broadcast_if_small, checkpointed
+
 CHANGES = "feed string, file_no int, change_kind string, field string, new_field string"
 
 
@@ -70,10 +72,13 @@ def renames(exploded: DataFrame, span: DataFrame) -> DataFrame:
     """
     gone = span.where("after is not null").select("feed", F.col("after").alias("file_no"), F.col("last_file").alias("old_file"), F.col("field"))
     new = span.where("before is not null").select("feed", F.col("first_file").alias("file_no"), F.col("before").alias("old_file"), F.col("field").alias("new_field"))
-    pairs = gone.join(new, ["feed", "file_no", "old_file"])
-    values = exploded.where("value is not null and rid is not null").select("feed", "file_no", "rid", "field", "value").distinct()
-    old = values.select("feed", F.col("file_no").alias("old_file"), "rid", "field", F.col("value").alias("old_value")).join(gone, ["feed", "old_file", "field"])
-    now = values.select("feed", "file_no", "rid", F.col("field").alias("new_field"), "value").join(new, ["feed", "file_no", "new_field"])
+    pairs = checkpointed(gone.join(new, ["feed", "file_no", "old_file"]))
+    # few cells stand beside a change: they are picked before anything is shuffled
+    values = exploded.where("value is not null and rid is not null").select("feed", "file_no", "rid", "field", "value")
+    left = broadcast_if_small(pairs.select("feed", "file_no", "old_file", "field").distinct())
+    right = broadcast_if_small(pairs.select("feed", "file_no", "old_file", "new_field").distinct())
+    old = values.select("feed", F.col("file_no").alias("old_file"), "rid", "field", F.col("value").alias("old_value")).join(left, ["feed", "old_file", "field"]).distinct()
+    now = values.select("feed", "file_no", "rid", F.col("field").alias("new_field"), "value").join(right, ["feed", "file_no", "new_field"]).distinct()
     both = old.join(now, ["feed", "file_no", "old_file", "rid"])
     score = both.groupBy("feed", "file_no", "field", "new_field").agg(F.count("*").alias("n"), F.count_if(F.col("value") == F.col("old_value")).alias("same"))
     good = score.where(F.col("same") * 2 > F.col("n"))
@@ -81,7 +86,7 @@ def renames(exploded: DataFrame, span: DataFrame) -> DataFrame:
     rank = [F.desc(F.col("same") / F.col("n")), F.desc("same"), "field", "new_field"]
     by_old, by_new = W.partitionBy("feed", "file_no", "field").orderBy(*rank), W.partitionBy("feed", "file_no", "new_field").orderBy(*rank)
     best = good.withColumn("a", F.row_number().over(by_old)).withColumn("b", F.row_number().over(by_new)).where("a = 1 and b = 1")
-    return best.join(pairs.select("feed", "file_no", "field", "new_field"), ["feed", "file_no", "field", "new_field"], "left_semi").select("feed", "file_no", "field", "new_field")
+    return best.select("feed", "file_no", "field", "new_field")
 
 
 def lineages(span: DataFrame, renamed: DataFrame) -> DataFrame:
@@ -117,9 +122,10 @@ def retyped(cat: DataFrame, line: DataFrame) -> DataFrame:
 def schema_changes(records: DataFrame) -> DataFrame:
     """Every change of schema: feed, file_no, change_kind (renamed, removed, added, retyped), field, new_field."""
     exploded = cells(records)
-    cat = catalogue(exploded)
-    span = spans(cat)
-    renamed = renames(exploded, span)
+    # the catalogue and what follows from it are small and used again and again
+    cat = checkpointed(catalogue(exploded))
+    span = checkpointed(spans(cat))
+    renamed = checkpointed(renames(exploded, span))
     ends = span.where("after is not null").select("feed", F.col("after").alias("file_no"), "field")
     starts = span.where("before is not null").select("feed", F.col("first_file").alias("file_no"), "field")
     row = lambda df, kind, new=F.lit(""): df.select("feed", F.col("file_no").cast("int").alias("file_no"), F.lit(kind).alias("change_kind"), "field", new.alias("new_field"))

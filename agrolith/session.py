@@ -46,3 +46,14 @@ def plan_bytes(df: DataFrame) -> int:
 def buckets_for(df: DataFrame, bytes_each: int = BUCKET_BYTES, least: int = 1) -> int:
     """How many buckets hold the frame at about ``bytes_each``; parquet is taken as three times its size in memory."""
     return max(least, min(1 << 20, 3 * plan_bytes(df) // bytes_each + 1))
+
+
+#: Rows up to which a side that is already written (a checkpoint) is broadcast; such sides hold ids and names only.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(written: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A written frame with a broadcast hint if it has no more than ``most`` rows, else as it is: the join then shuffles."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(written) if written.count() <= most else written
