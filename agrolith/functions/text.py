@@ -39,7 +39,8 @@ def tier_token(c: Column) -> Column:
 
 def parse_number(c: Column) -> Column:
     """A number written with thousands commas or a percent sign, else null."""
-    return F.regexp_replace(c, r"[,%\s]", "").try_cast("double")
+    t = F.regexp_replace(c, r"[,%\s]", "")
+    return F.when(t.rlike(r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)$"), t.try_cast("double"))
 
 
 def host(url: Column) -> Column:
@@ -82,7 +83,7 @@ def guard_spreadsheet(c: Column) -> Column:
 
 def strip_html(c: Column) -> Column:
     """Tags out, the five common entities back to characters, blanks collapsed."""
-    t = F.regexp_replace(F.regexp_replace(c, r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", " ")
+    t = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"(?is)<script\b.*?</script>", " "), r"(?is)<style\b.*?</style>", " "), r"<[^>]*>", " ")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
         t = F.replace(t, F.lit(entity), F.lit(char))
     return F.trim(F.regexp_replace(t, r"\s+", " "))
