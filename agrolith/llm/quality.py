@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -45,6 +46,14 @@ _MACHINE = re.compile(r'^\s*[{\[<].*["=:].*[}\]>],?\s*$|^\s*(?:at [\w.$]+\(|0x[0
 _SENTENCE_END = re.compile(r"[.!?…:][\"'”’»)]*$")
 _INNER_STOP = re.compile(r"[^\W\d_]{2,}[.!?…][\"'”’»)]*\s+[\"'“‘«(¿¡]?[^\W\d_]")
 _LABELS = re.compile(r"\s+(?:>|›|»(?=\s+[^\s>·|])|·|•|\||/|→)\s+")
+_ODD = re.compile("[�\x80-\x9f\x00-\x08\x0b\x0e-\x1f]")
+_DOUBLE = re.compile("[ÃÂâ][\x80-\xbf€™œž‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜š›Ÿ]")
+_SUSPECT = re.compile("[�\x80-\x9f\x00-\x08\x0b\x0e-\x1fÃÂâ]")
+_LETTER, _DIGIT, _DENSE = re.compile(r"[^\W\d_]"), re.compile(r"\d"), re.compile(r"\S")
+_HEX = re.compile(r"(?:0x)?[0-9a-fA-F]{2,8}|[01]{6,}")
+_ODD_TOKEN = re.compile(r"[^\W\d_]\d[^\W\d_]|\d[^\W\d_]{2,}\d|[^\W\d_]\|[^\W_]|[bcdfghjklmnpqrstvwxz]{6,}|^[bcdfghjklmnpqrstvwxz]{4,}$")
+_ODD_CELL = re.compile(r"[^\w\s.,;:%‰()/'’&+|\-–—\"$€£]")
+_CELL_SIGN = re.compile(r"[|\t<;]|\s{2}|\.{4}|,.*,|[:=].*[:=].*[:=]", re.S)
 KINDS = ("list", "table", "junk")
 
 
@@ -58,17 +67,17 @@ def words_of(text: str) -> list[str]:
 
 def garbled_share(text: str) -> float:
     """Share of characters that come of wrong decoding: replacement marks, C1 controls, and Ã or Â before another odd character."""
-    if not text:
+    if not text or not _SUSPECT.search(text):
         return 0.0
-    odd = sum(c == "�" or "\x80" <= c <= "\x9f" or c < " " and c not in "\t\n\r\f" for c in text)
-    odd += 2 * len(re.findall("[ÃÂâ][\x80-\xbf€™œž‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜š›Ÿ]", text))
-    return odd / len(text)
+    return (len(_ODD.findall(text)) + 2 * len(_DOUBLE.findall(text))) / len(text)
 
 
 def _cells(line: str) -> tuple[str, int]:
     """(separator, number of cells) by which a line reads as a row of a table, ("", 0) if it doesn't."""
     s = line.strip()
-    odd = len(re.findall(r"[^\w\s.,;:%‰()/'’&+|\-–—\"$€£]", s))
+    if not _CELL_SIGN.search(s):
+        return "", 0
+    odd = len(_ODD_CELL.findall(s))
     if not _ROW_TAG.search(s) and odd > 0.1 * len(s):
         return "", 0
     if _ROW_TAG.search(s):
@@ -96,21 +105,23 @@ def _cells(line: str) -> tuple[str, int]:
     return "", 0
 
 
-def _junk_line(s: str, words: list[str]) -> bool:
-    """Whether a line can't be read by anyone: symbols, encodings, dumps."""
-    dense = re.sub(r"\s", "", s)
+def _junk_line(s: str, words: list[str], common: float) -> bool:
+    """Whether a line can't be read by anyone: symbols, encodings, dumps, navigation. ``common``: its share of common words."""
+    dense = len(_DENSE.findall(s))
     if not dense:
         return False
     if garbled_share(s) > 0.04:
         return True
-    letters = sum(c.isalpha() for c in dense)
-    digits = sum(c.isdigit() for c in dense)
-    if len(dense) >= 8 and (len(dense) - letters - digits) / len(dense) > 0.45:
+    letters, digits = len(_LETTER.findall(s)), len(_DIGIT.findall(s))
+    if dense >= 8 and (dense - letters - digits) / dense > 0.45:
         return True
-    longest = max((len(t) for t in s.split()), default=0)
-    if longest >= 40 and not re.match(r"\W*(?:https?:|www\.)", max(s.split(), key=len)) and longest > 0.4 * len(s):
+    tokens = s.split()
+    longest = max(map(len, tokens), default=0)
+    if longest >= 40 and not re.match(r"\W*(?:https?:|www\.)", max(tokens, key=len)) and longest > 0.4 * len(s):
         return True
-    if _LOG.match(s) and common_share(words) < 0.25 or _MACHINE.match(s) and common_share([w for w in words if len(w) > 1]) < 0.2:
+    if common >= 0.4:
+        return False
+    if common < 0.25 and _LOG.match(s) or _MACHINE.match(s) and common_share([w for w in words if len(w) > 1]) < 0.2:
         return True
     # navigation: many short labels between separators
     labels = _LABELS.split(s.strip())
@@ -119,12 +130,10 @@ def _junk_line(s: str, words: list[str]) -> bool:
     spaced = re.split(r"\s{2,}", s.strip())
     if len(spaced) >= 8 and len(set(spaced)) < len(spaced) and all(len(x.split()) <= 3 for x in spaced) and not any(_EMPTYISH.match(x) for x in spaced):
         return True
-    tokens = s.split()
     if len(tokens) >= 6:
-        if sum(bool(re.fullmatch(r"(?:0x)?[0-9a-fA-F]{2,8}|[01]{6,}", t)) and (len(t) != 4 or not t.isdigit()) for t in tokens) > 0.8 * len(tokens) and not words_of(" ".join(t for t in tokens if len(t) > 4)):
+        if sum(bool(_HEX.fullmatch(t)) and (len(t) != 4 or not t.isdigit()) for t in tokens) > 0.8 * len(tokens) and not words_of(" ".join(t for t in tokens if len(t) > 4)):
             return True
-        odd = sum(bool(re.search(r"[^\W\d_]\d[^\W\d_]|\d[^\W\d_]{2,}\d|[^\W\d_]\|[^\W_]|[bcdfghjklmnpqrstvwxz]{6,}|^[bcdfghjklmnpqrstvwxz]{4,}$", t.lower())) for t in tokens)
-        if odd > 0.3 * len(tokens) and common_share(words) < 0.2:
+        if common < 0.2 and sum(bool(_ODD_TOKEN.search(t)) for t in s.lower().split()) > 0.3 * len(tokens):
             return True
     return False
 
@@ -134,12 +143,12 @@ def periodic_share(words: list[str], longest: int = 64) -> float:
     n = len(words)
     if n < 8:
         return 0.0
+    if len(set(words)) > 0.4 * n + min(longest, n // 3):
+        return 0.6  # more different words than a share above this allows
     ids: dict[str, int] = {}
     seq = [ids.setdefault(w, len(ids)) for w in words]
-    import numpy as np
-
-    a = np.array(seq)
-    return max((float((a[p:] == a[:-p]).mean()) for p in range(1, min(longest, n // 3) + 1)), default=0.0)
+    a = np.array(seq, np.int32)
+    return max((np.count_nonzero(a[p:] == a[:-p]) / (n - p) for p in range(1, min(longest, n // 3) + 1)), default=0.0)
 
 
 def _item_like(content: str, words: list[str]) -> bool:
@@ -155,6 +164,7 @@ def weigh(text: str) -> dict[str, int]:
     body = text.replace("\r\n", "\n").replace("\r", "\n").replace("\u2028", "\n").replace("\x0b", "\n").replace("\x0c", "\n")
     lines = [l for l in (_TAG.sub(" ", x) if "<" in x and not _ROW_TAG.search(x) else x for x in body.split("\n")) if l.strip()]
     words = [words_of(l) for l in lines]
+    common = [common_share(w) for w in words]
     n = len(lines)
     rows = [_cells(l) for l in lines]
     kinds: list[str] = [""] * n
@@ -169,7 +179,7 @@ def weigh(text: str) -> dict[str, int]:
     repeats = Counter(l.strip() for l in lines)
     for i in range(n):
         if not kinds[i]:
-            if _junk_line(lines[i], words[i]):
+            if _junk_line(lines[i], words[i], common[i]):
                 kinds[i] = "junk"
             elif n >= 8 and repeats[lines[i].strip()] > max(4, 0.2 * n) and len(words[i]) < 12:
                 kinds[i] = "junk"
