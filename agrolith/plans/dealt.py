@@ -73,4 +73,28 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p6_by_month": p6_by_month, "p7_found": p7_found}
-ORACLES: dict[str, str] = {}
+def _diff_sql(main: str, copy: str, key: str, fields: tuple[str, ...]) -> str:
+    a, b = (f"(SELECT DISTINCT {key}, {', '.join(fields)} FROM {t})" for t in (main, copy))
+    cells = " UNION ALL ".join(f"SELECT '{main}', a.{key}, 'differs', '{f}' FROM {a} a JOIN {b} b ON a.{key} = b.{key} WHERE a.{f} IS DISTINCT FROM b.{f}" for f in fields)
+    return f"""SELECT '{main}' AS table_name, {key} AS row_key, 'missing_in_copy' AS kind, '' AS field FROM {a} WHERE {key} NOT IN (SELECT {key} FROM {copy})
+      UNION ALL SELECT '{main}', {key}, 'missing_in_main', '' FROM {b} WHERE {key} NOT IN (SELECT {key} FROM {main}) UNION ALL {cells}"""
+
+
+def _orphan_sql(table_name: str, key: str, field: str, at: str, targets: str, target_key: str) -> str:
+    items = f"unnest(regexp_extract_all(upper(regexp_replace(regexp_replace({field}, '^\\s*(?i:uc)\\s*:', ''), '\\b(and|or|und|et|y)\\b', ' ', 'g')), '[A-Z0-9](?:[A-Z0-9.-]*[A-Z0-9])?'))"
+    return f"""SELECT DISTINCT '{table_name}' AS table_name, '{field}' AS field, row_key, ref_key, CASE WHEN t.k IS NULL THEN 'missing' WHEN retired_on <= at_time THEN 'deleted' ELSE 'late' END AS state, strftime(at_time, '%Y-%m') AS ym
+      FROM (SELECT {key} AS row_key, {at} AS at_time, {items} AS ref_key FROM {table_name}) r LEFT JOIN (SELECT upper({target_key}) AS k, added_on, retired_on FROM {targets}) t ON t.k = r.ref_key
+      WHERE t.k IS NULL OR retired_on <= at_time OR added_on > at_time"""
+
+
+_P6 = " UNION ALL ".join((
+    _orphan_sql("indicator_census", "census_id", "merged_into", "decided_at", "indicators", "indicator_id"),
+    _orphan_sql("indicator_census", "census_id", "prerequisite", "decided_at", "use_cases", "code"),
+    _orphan_sql("observations", "obs_id", "prereq", "observed_at", "use_cases", "code"),
+))
+ORACLES = {
+    "p5_found": _diff_sql("research_cells", "research_cells_copy", "cell_id", ("subject", "indicator_id", "value_type", "value", "year", "tier", "presence_rung", "quality_evidence"))
+    + " UNION ALL " + _diff_sql("register_entries", "register_copy", "entry_id", ("run_id", "subject", "name", "lead", "uc", "status", "scale", "funding", "results", "results_tier", "overlap", "tier", "src", "src_url", "verification_note")),
+    "p6_found": _P6,
+    "p6_by_month": f"SELECT table_name, field, ym, state, count(*) AS orphans FROM ({_P6}) GROUP BY ALL",
+}
