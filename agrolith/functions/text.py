@@ -57,7 +57,7 @@ def host_suffixes(h: Column) -> Column:
 def mentions(c: Column, terms: list[str]) -> Column:
     """The terms that a text contains as words (no letter beside them), case ignored; longest first."""
     ordered = sorted(set(terms), key=lambda t: (-len(t), t))
-    pairs = [F.when(c.rlike(r"(?i)(?<![A-Za-z])" + re.escape(t) + r"(?![A-Za-z])"), F.lit(t)) for t in ordered]
+    pairs = [F.when(c.rlike(r"(?iu)(?<![A-Za-z])" + re.escape(t) + r"(?![A-Za-z])"), F.lit(t)) for t in ordered]
     return F.array_compact(F.array(*pairs))
 
 

@@ -70,8 +70,8 @@ def _bucket_diff(columns: list[str], order: str | None):
         keys, kinds, fields = [ka[~hit], kb[~found]], ["missing_in_copy"] * int((~hit).sum()) + ["missing_in_main"] * int((~found).sum()), []
         fields += [""] * len(kinds)
         pa_, pb_ = a.filter(pa.array(hit)), b.take(pa.array(at[hit]))
-        for c in columns:
-            mask = unequal(pa_.column(c), pb_.column(c))
+        for i, c in enumerate(columns):
+            mask = unequal(pa_.column(f"c{i}"), pb_.column(f"c{i}"))
             keys.append(ka[hit][mask])
             kinds += ["differs"] * int(mask.sum())
             fields += [c] * int(mask.sum())
@@ -87,9 +87,11 @@ def diff_copies(main: DataFrame, copy: DataFrame, key: str, ignore: tuple[str, .
     buckets = max(buckets_for(main, bucket_bytes), buckets_for(copy, bucket_bytes))
 
     def side(df: DataFrame) -> DataFrame:
-        rows = df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("row_key"), *columns)
-        rows = rows.agg(F.max(order).alias("_order")) if order else rows.agg(F.lit(0).alias("_order"))
-        return rows.withColumn("_hash", F.xxhash64(*columns)).withColumn("_bucket", F.pmod(F.xxhash64("row_key"), F.lit(buckets)))
+        # columns go by number inside, so that no name of theirs can clash
+        named = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
+        rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("row_key"), *named, (F.col(order) if order else F.lit(0)).alias("_order"))
+        rows = rows.groupBy("row_key", *[f"c{i}" for i in range(len(columns))]).agg(F.max("_order").alias("_order"))
+        return rows.withColumn("_hash", F.xxhash64(F.lit(0), *[f"c{i}" for i in range(len(columns))])).withColumn("_bucket", F.pmod(F.xxhash64("row_key"), F.lit(buckets)))
 
     a, b = side(main), side(copy)
     return a.groupBy("_bucket").cogroup(b.groupBy("_bucket")).applyInArrow(_bucket_diff(columns, "_order"), SCHEMA)

@@ -23,7 +23,7 @@ CHANGES = "feed string, file_no int, change_kind string, field string, new_field
 
 
 def cells(records: DataFrame, payload: str = "payload", id_field: str = "id") -> DataFrame:
-    """feed, file_no, rid, field, type, value (canonical JSON): the exploded keys of valid records, parsed once, in the JVM."""
+    """feed, file_no, rid, field, type, value (canonical JSON), text: the exploded keys of valid records, parsed once, in the JVM."""
     parsed = records.select("feed", "file_no", F.try_parse_json(payload).alias("v")).where("v is not null")
     objects = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
     rid = F.try_variant_get("v", f"$.{id_field}", "string").alias("rid")
@@ -31,7 +31,7 @@ def cells(records: DataFrame, payload: str = "payload", id_field: str = "id") ->
         objects.sparkSession.tvf.variant_explode(F.col("v").outer())
     )
     kind = F.schema_of_variant("value")
-    return exploded.select("feed", "file_no", "rid", F.col("key").alias("field"), _json_type(kind).alias("type"), F.when(kind != "VOID", F.to_json("value")).alias("value"))
+    return exploded.select("feed", "file_no", "rid", F.col("key").alias("field"), _json_type(kind).alias("type"), F.when(kind != "VOID", F.to_json("value")).alias("value"), F.try_variant_get("value", "$", "string").alias("text"))
 
 
 def _json_type(kind: Column) -> Column:
@@ -132,3 +132,46 @@ def schema_changes(records: DataFrame) -> DataFrame:
     removed = ends.join(renamed.select("feed", "file_no", "field"), ["feed", "file_no", "field"], "left_anti")
     added = starts.join(renamed.select("feed", "file_no", F.col("new_field").alias("field")), ["feed", "file_no", "field"], "left_anti")
     return row(renamed, "renamed", F.col("new_field")).unionByName(row(removed, "removed")).unionByName(row(added, "added")).unionByName(row(retyped(cat, lineages(span, renamed)), "retyped"))
+
+
+#: The columns of the one consistent table and their types; whatever else the files hold comes out in the map ``extra``.
+TARGET = {
+    "name": "string", "lead": "string", "uc": "array<string>", "status": "string", "scale": "string", "funding": "string", "results": "string", "results_tier": "string", "overlap": "array<string>",
+    "tier": "string", "src": "string", "src_url": "string", "verification_note": "string", "indicator_id": "string", "value_type": "string", "value": "string", "year": "int", "source_title": "string",
+    "source_url": "string", "presence_rung": "string", "quality_evidence": "string", "scale_evidence": "string", "search_trail": "string", "notes": "string", "protocol_issues": "string",
+}
+
+
+def aliases(line: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
+    """feed, field, first_file, last_file, canon: the target column that a field's line has among its names, else its first name."""
+    known = F.when(F.col("field").isin(*target), F.col("field"))
+    root = F.regexp_extract("lineage", "^([^\\x00]*)", 1)
+    per = line.groupBy("feed", "lineage").agg(F.min_by(known, F.when(known.isNotNull(), F.col("first_file"))).alias("named"))
+    return line.join(per, ["feed", "lineage"]).select("feed", "field", "first_file", "last_file", F.coalesce("named", root).alias("canon"))
+
+
+def _cast(text: Column, kind: Column, value: Column, to: str) -> Column:
+    """A cell as the target type: wrapped texts are unwrapped, packed lists split, numbers in texts read."""
+    inner = F.coalesce(F.get_json_object(value, "$.text"), text)
+    single = F.when(kind == "array", F.array_join(F.from_json(value, "array<string>"), "; ")).when(kind == "object", inner).otherwise(text)
+    if to == "int":
+        return single.try_cast("int")
+    if to == "array<string>":
+        return F.when(kind == "array", F.from_json(value, "array<string>")).when(kind.isNotNull(), F.filter(F.transform(F.split(single, ";"), lambda x: F.trim(x)), lambda x: x != ""))
+    return single
+
+
+def consistent_table(records: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
+    """feed, file_no, rid, the target's columns, extra: every valid record once, whatever its fields were called and typed."""
+    exploded = cells(records)
+    cat = checkpointed(catalogue(exploded))
+    span = checkpointed(spans(cat))
+    alias = broadcast_if_small(checkpointed(aliases(lineages(span, renames(exploded, span)), target)))
+    at = exploded.where("rid is not null").alias("c").join(alias.alias("a"), (F.col("c.feed") == F.col("a.feed")) & (F.col("c.field") == F.col("a.field")) & F.col("c.file_no").between(F.col("a.first_file"), F.col("a.last_file")))
+    named = at.select("c.feed", "c.file_no", "c.rid", "a.canon", "c.type", "c.value", "c.text")
+    pick = lambda c, to: F.first(F.when(F.col("canon") == c, _cast(F.col("text"), F.col("type"), F.col("value"), to)), ignorenulls=True).alias(c)
+    rest = F.array_sort(F.collect_set(F.when(~F.col("canon").isin(*target, "id") & F.col("text").isNotNull(), F.struct(F.col("canon"), F.col("text")))))
+    # a record sent twice with different contents may give a key two values: the first one in order counts
+    names = F.array_distinct(F.col("_rest.canon"))
+    extra = F.map_from_arrays(names, F.transform(names, lambda k: F.element_at(F.filter("_rest", lambda e: e["canon"] == k), 1)["text"])).alias("extra")
+    return named.groupBy("feed", "file_no", "rid").agg(*[pick(c, to) for c, to in target.items()], rest.alias("_rest")).select("feed", "file_no", "rid", *target, extra)

@@ -33,7 +33,7 @@ def orphan_references(refs: DataFrame, targets: DataFrame, keys: list[str], at:
         raise ValueError(f"unknown match semantics {match!r}")
     nullable = {f.name for f in refs.schema if f.nullable}
     cols = refs.columns
-    life = [added, retired] if at else []
+    life = [F.col(added).alias("_added"), F.col(retired).alias("_retired")] if at else []
     out: list[DataFrame] = []
     for mask in product(*[(False, True) if k in nullable else (False,) for k in keys]):
         null = [k for k, gone in zip(keys, mask, strict=True) if gone]
@@ -50,12 +50,12 @@ def orphan_references(refs: DataFrame, targets: DataFrame, keys: list[str], at:
             out.append(part.join(t, same, "left_anti").withColumn("state", F.lit("missing")))
             continue
         ref_at = part.withColumnRenamed(at, "_at")
-        valid = (F.col(added).isNull() | (F.col(added) <= F.col("_at"))) & (F.col(retired).isNull() | (F.col(retired) > F.col("_at")))
+        valid = (F.col("_added").isNull() | (F.col("_added") <= F.col("_at"))) & (F.col("_retired").isNull() | (F.col("_retired") > F.col("_at")))
         lost = ref_at.join(t, same & F.coalesce(valid, F.lit(True)), "left_anti")
         if once:
             lost = lost.distinct()
         # few rows are left: the targets' last retirement per key tells deleted from late
-        ends = t.groupBy(*[f"_t_{k}" for k in here]).agg(F.count("*").alias("_n"), F.min(F.coalesce(F.col(added), F.to_timestamp_ntz(F.lit("0001-01-01")))).alias("_first"))
+        ends = t.groupBy(*[f"_t_{k}" for k in here]).agg(F.count("*").alias("_n"), F.min(F.coalesce(F.col("_added"), F.to_timestamp_ntz(F.lit("0001-01-01")))).alias("_first"))
         told = lost.join(ends, same, "left").withColumn("state", F.when(F.col("_n").isNull(), "missing").when(F.col("_first") > F.col("_at"), "late").otherwise("deleted"))
         out.append(told.withColumnRenamed("_at", at).select(*cols, "state"))
     if not out:

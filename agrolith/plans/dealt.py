@@ -72,7 +72,12 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.schema_changes(table(spark, sf_dir, "raw_records").select("feed", "file_no", "payload"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p6_by_month": p6_by_month, "p7_found": p7_found}
+def p7_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of all feeds in one table with one schema."""
+    return drift.consistent_table(table(spark, sf_dir, "raw_records").select("feed", "file_no", "payload"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p6_by_month": p6_by_month, "p7_found": p7_found, "p7_table": p7_table}
 def _diff_sql(main: str, copy: str, key: str, fields: tuple[str, ...]) -> str:
     a, b = (f"(SELECT DISTINCT {key}, {', '.join(fields)} FROM {t})" for t in (main, copy))
     cells = " UNION ALL ".join(f"SELECT '{main}', a.{key}, 'differs', '{f}' FROM {a} a JOIN {b} b ON a.{key} = b.{key} WHERE a.{f} IS DISTINCT FROM b.{f}" for f in fields)
