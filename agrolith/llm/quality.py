@@ -141,14 +141,14 @@ def _junk_line(s: str, words: list[str], common: float) -> bool:
 def periodic_share(words: list[str], longest: int = 64) -> float:
     """The greatest share of words that equal the word a fixed distance before, over distances up to ``longest``."""
     n = len(words)
-    if n < 8:
+    if n < 10:
         return 0.0
-    if len(set(words)) > 0.4 * n + min(longest, n // 3):
+    if len(set(words)) > 0.4 * n + min(longest, n // 5):
         return 0.6  # more different words than a share above this allows
     ids: dict[str, int] = {}
     seq = [ids.setdefault(w, len(ids)) for w in words]
     a = np.array(seq, np.int32)
-    return max((np.count_nonzero(a[p:] == a[:-p]) / (n - p) for p in range(1, min(longest, n // 3) + 1)), default=0.0)
+    return max((np.count_nonzero(a[p:] == a[:-p]) / (n - p) for p in range(1, min(longest, n // 5) + 1)), default=0.0)
 
 
 def _item_like(content: str, words: list[str]) -> bool:
