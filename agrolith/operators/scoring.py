@@ -37,12 +37,15 @@ def threshold_level(value: Column, thresholds: Column, direction: Column) -> Col
     return F.when(value.isNotNull() & (F.size(thresholds) > 0), 1 + crossed)
 
 
-def scored(observations: DataFrame, indicators: DataFrame) -> DataFrame:
-    """Observations with class, level, stale; explicit holds (level present and null) stay without a level."""
-    cols = ("obs_id", "run_id", "subject", "indicator_id", "value_num", "value_text", "cls", "level", "level_present", "year", "src", "tier", "url", "prereq")
+def scored(observations: DataFrame, indicators: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Observations with class, level, stale; explicit holds (level present and null) stay without a level.
+
+    The class is derived before rows delivered twice are dropped, so that no long text is shuffled; ``keep`` names further
+    columns that are to come out.
+    """
     catalog = indicators.select("indicator_id", F.col("name").alias("indicator"), "pillar", "layer", "method", "direction", "thresholds", "use_cases", "tags", "prerequisite")
-    rows = observations.select(*cols).distinct().join(catalog, "indicator_id")
-    rows = rows.withColumn("cls", evidence_class(F.col("cls"), F.col("value_num"), F.col("value_text"), F.col("src"), F.col("tier")))
+    cls = evidence_class(F.col("cls"), F.col("value_num"), F.col("value_text"), F.col("src"), F.col("tier"))
+    rows = observations.select("obs_id", "run_id", "subject", "indicator_id", "value_num", cls.alias("cls"), "level", "level_present", "year", *keep).distinct().join(catalog, "indicator_id")
     hold = F.col("level_present") & F.col("level").isNull()
     level = (
         F.when(F.col("cls").isin("Gap", ""), None).when(hold, None)
@@ -68,14 +71,17 @@ def band_level(mean: Column) -> Column:
 
 def pillar_profile(rows: DataFrame) -> DataFrame:
     """Every run with every pillar, empty ones included: counts, mean, band, margin, composition, weak."""
-    runs = rows.select(*RUN).distinct().select(*RUN, F.explode(F.array(*map(F.lit, PILLARS))).alias("pillar"))
     c = lambda name: F.count_if(F.col("cls") == name)
     agg = rows.groupBy(*RUN, "pillar").agg(
         F.count("*").alias("n"), F.count("level").alias("rated"), F.count_if(F.col("level").isNull() & (F.col("cls") != "Gap")).alias("held"),
         F.avg("level").alias("raw"), c("Measured").alias("measured"), c("Documented").alias("documented"), c("Judged").alias("judged"), c("Gap").alias("gaps"),
         F.count_if("stale").alias("stale"), F.count_if((F.col("cls") == "Judged") & F.col("level").isNotNull()).alias("judged_rated"),
     )
-    out = runs.join(agg, [*RUN, "pillar"], "left").withColumn("mean", F.round("raw", 2)).na.fill(0, ["n", "rated", "held", "measured", "documented", "judged", "gaps", "stale", "judged_rated"])
+    # empty pillars are filled in from each run's seven aggregates, not by a join with a second pass over the rows
+    fields = [c for c in agg.columns if c not in (*RUN, "pillar")]
+    runs = agg.groupBy(*RUN).agg(F.map_from_entries(F.collect_list(F.struct("pillar", F.struct(*fields).alias("a")))).alias("m"))
+    every = runs.select(*RUN, "m", F.explode(F.array(*map(F.lit, PILLARS))).alias("pillar")).select(*RUN, "pillar", F.try_element_at("m", F.col("pillar")).alias("a"))
+    out = every.select(*RUN, "pillar", "a.*").withColumn("mean", F.round("raw", 2)).na.fill(0, ["n", "rated", "held", "measured", "documented", "judged", "gaps", "stale", "judged_rated"])
     weak = (F.col("judged_rated") + F.col("gaps") + F.col("held")) > (F.col("rated") - F.col("judged_rated"))
     return out.select(*RUN, "pillar", "n", "rated", "held", "mean", band(F.col("mean")).alias("band"), F.round(F.col("mean") - band_level(F.col("mean")), 2).alias("margin"), "measured", "documented", "judged", "gaps", "stale", weak.alias("weak"))
 

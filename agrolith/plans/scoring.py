@@ -161,7 +161,7 @@ def q_qc_invariants(spark, d):
 
 def q_row_contract(spark, d):
     """All errors of each observation that has any, not only the first."""
-    r = _rows(spark, d)
+    r = sc.scored(table(spark, d, "observations"), table(spark, d, "indicators"), keep=("src", "tier", "url"))
     errors = F.array_compact(F.array(
         F.when(F.coalesce("src", F.lit("")) == "", "no source"), F.when(~F.coalesce(F.col("tier"), F.lit("")).rlike("^T[1-5]$"), "no tier"),
         F.when((F.col("cls") != "Gap") & F.col("year").isNull(), "no year"), F.when(F.coalesce("url", F.lit("")) == "", "no url"),
