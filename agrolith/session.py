@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +60,19 @@ def broadcast_if_small(written: DataFrame, most: int = BROADCAST_ROWS) -> DataFr
     from pyspark.sql import functions as F
 
     return F.broadcast(written) if written.count() <= most else written
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers once per context, so that they need no path to it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_agrolith_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    sources = sorted(root.rglob("*.py"))
+    digest = hashlib.sha256(b"".join(p.read_bytes() for p in sources)).hexdigest()[:12]
+    target = Path(tempfile.mkdtemp(prefix="agrolith-")) / f"agrolith_{digest}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sources:
+            z.write(p, p.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(target))
+    sc._agrolith_shipped = True
