@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Openings that deny evidence.
-NEGATIONS = ("none found", "no ", "not ", "n/a", "none", "nothing")
+NEGATIONS = ("none found", "no ", "not ", "n/a", "unpublished", "unmeasured", "unverified", "no published")
+#: Words that identify no programme on their own.
+NOISE = ("the", "el", "al", "programme", "program", "project", "platform", "app", "application", "system", "initiative", "service", "digital", "national", "smart")
 
 
 def normal_form(c: Column) -> Column:
@@ -20,7 +22,7 @@ def normal_form(c: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
 
 
-def dedupe_key(c: Column, noise: tuple[str, ...] = ("the", "of", "and", "for")) -> Column:
+def dedupe_key(c: Column, noise: tuple[str, ...] = NOISE) -> Column:
     """Letters and digits of a name without its noise words."""
     return F.regexp_replace(F.regexp_replace(F.lower(c), r"\b(" + "|".join(noise) + r")\b", ""), "[^a-z0-9]", "")
 

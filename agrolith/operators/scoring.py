@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: The year of the assessment, years until evidence is stale, the gap that counts as leapfrogging.
 ASSESSMENT_YEAR, STALE_YEARS, LEAPFROG_GAP = 2026, 3, 1.5
 #: Maturity bands, lower bound included, upper bound excluded.
-BANDS = ((1.0, 1.5, "Nascent", 1), (1.5, 2.5, "Emerging", 2), (2.5, 3.5, "Established", 3), (3.5, 4.5, "Advanced", 4), (4.5, 5.01, "Leading", 5))
+BANDS = ((1.0, 1.5, "Nascent", 1), (1.5, 2.5, "Emerging", 2), (2.5, 3.5, "Established", 3), (3.5, 4.5, "Advanced", 4), (4.5, 5.01, "Transformative", 5))
 PILLARS = ("A1", "C1", "C2", "C3", "C4", "E1", "O1")
 RUN = ("run_id", "subject")
 

@@ -91,7 +91,7 @@ def q_dedupe_key(spark, d):
 
 def q_fuzzy_dupes(spark, d):
     keys = table(spark, d, "register_entries").where("name is not null").select("subject", tx.dedupe_key(F.col("name")).alias("key"))
-    return ranking.contained_keys(keys, ["subject"], "key", 8)
+    return ranking.contained_keys(keys, ["subject"], "key")
 
 
 def q_normal_form(spark, d):
@@ -263,8 +263,8 @@ def q_rollup_levels(spark, d):
 _T = "('" + "'), ('".join(t.replace("'", "''") for t in TERMS) + "')"
 _BAD = "regexp_matches(coalesce({0}, ''), '^T[1-5]$')"
 _NORM = "lower(trim(regexp_replace({0}, '\\s+', ' ', 'g')))"
-_KEY = "regexp_replace(regexp_replace(lower(name), '\\b(the|of|and|for)\\b', '', 'g'), '[^a-z0-9]', '', 'g')"
-_SUB = "(length(lower(trim(coalesce({0}, '')))) >= 40 AND NOT regexp_matches(lower(trim(coalesce({0}, ''))), '^(none found|no |not |n/a|none|nothing)'))"
+_KEY = "regexp_replace(regexp_replace(lower(name), '\\b(the|el|al|programme|program|project|platform|app|application|system|initiative|service|digital|national|smart)\\b', '', 'g'), '[^a-z0-9]', '', 'g')"
+_SUB = "(length(lower(trim(coalesce({0}, '')))) >= 40 AND NOT regexp_matches(lower(trim(coalesce({0}, ''))), '^(none found|no |not |n/a|unpublished|unmeasured|unverified|no published)'))"
 _GATE = """CASE WHEN coalesce(trim(name), '') = '' THEN 'no name' WHEN coalesce(trim(lead), '') = '' THEN 'no lead' WHEN NOT regexp_matches(coalesce(tier, ''), '^T[1-5]$') THEN 'tier not valid'
   WHEN coalesce(status, '') NOT IN ('Announced', 'Adopted', 'Operating', 'Closed', 'Absent') THEN 'status not valid' WHEN coalesce(trim(results_tier), '') <> '' AND regexp_extract(results_tier, '(T[1-5])', 1) NOT IN ('T1', 'T2', 'T3') THEN 'results not supported' END"""
 _REG = "(SELECT DISTINCT entry_id, run_id, name, lead, status, tier, results_tier FROM register_entries)"
@@ -285,7 +285,7 @@ ORACLES = {
     "reference_ids": "SELECT DISTINCT cell_id, cited FROM (SELECT cell_id, unnest(regexp_extract_all(notes, '\\b([1-9][0-9]?\\.[1-9][0-9]?)\\b', 1)) AS cited FROM research_cells) WHERE cited IN (SELECT indicator_id FROM indicators)",
     "dedupe_first": "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY text",
     "dedupe_key": f"SELECT DISTINCT entry_id, {_KEY} AS key FROM register_entries WHERE name IS NOT NULL",
-    "fuzzy_dupes": f"WITH k AS (SELECT DISTINCT subject, {_KEY} AS key FROM register_entries WHERE name IS NOT NULL) SELECT DISTINCT a.subject, a.key AS short, b.key AS long FROM k a JOIN k b ON a.subject = b.subject AND length(a.key) >= 8 AND length(a.key) < length(b.key) AND contains(b.key, a.key)",
+    "fuzzy_dupes": f"WITH k AS (SELECT DISTINCT subject, {_KEY} AS key FROM register_entries WHERE name IS NOT NULL) SELECT DISTINCT a.subject, a.key AS short, b.key AS long FROM k a JOIN k b ON a.subject = b.subject AND length(a.key) >= 5 AND length(a.key) < length(b.key) AND contains(b.key, a.key)",
     "normal_form": f"SELECT doc_id, {_NORM.format('title')} AS title FROM documents",
     "spreadsheet_guard": "SELECT DISTINCT cell_id, CASE WHEN regexp_matches(value, '^\\s*[=+\\-@]') THEN '''' || value ELSE value END AS cell FROM research_cells WHERE value IS NOT NULL",
     "html_strip": "SELECT doc_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g')) AS plain FROM documents WHERE text LIKE '%<%>%'",

@@ -180,7 +180,7 @@ s AS (SELECT s0.* EXCLUDE (level), CAST(CASE WHEN cls IN ('Gap', '') THEN NULL W
   coalesce(year <> 0 AND cls <> 'Gap' AND year < 2023, false) AS stale FROM s0 LEFT JOIN cut USING (obs_id))
 """
 _R2 = "round(({})::varchar::decimal(38,20), 2)::double"
-_BAND = "CASE WHEN mean IS NULL THEN 'Not rated' WHEN mean >= 1 AND mean < 1.5 THEN 'Nascent' WHEN mean < 2.5 THEN 'Emerging' WHEN mean < 3.5 THEN 'Established' WHEN mean < 4.5 THEN 'Advanced' WHEN mean < 5.01 THEN 'Leading' ELSE '—' END"
+_BAND = "CASE WHEN mean IS NULL THEN 'Not rated' WHEN mean >= 1 AND mean < 1.5 THEN 'Nascent' WHEN mean < 2.5 THEN 'Emerging' WHEN mean < 3.5 THEN 'Established' WHEN mean < 4.5 THEN 'Advanced' WHEN mean < 5.01 THEN 'Transformative' ELSE '—' END"
 _BANDN = "CASE WHEN mean IS NULL THEN NULL WHEN mean >= 1 AND mean < 1.5 THEN 1 WHEN mean < 2.5 THEN 2 WHEN mean < 3.5 THEN 3 WHEN mean < 4.5 THEN 4 WHEN mean < 5.01 THEN 5 END"
 _PROFILE = (
     _OBS
