@@ -188,3 +188,52 @@ def numeric_mentions(c: Column) -> Column:
         return t.map(numeric_mentions_of)
 
     return extract(c)
+
+
+#: Source keywords and the tier of what they name, the first that fits decides.
+PUBLIC_TIERS = (("yearbook", "T1"), ("census", "T1"), ("survey", "T1"), ("journal", "T2"), ("gazette", "T3"), ("ministry", "T3"), ("bulletin", "T3"), ("brief", "T4"), ("programme", "T4"), ("note", "T4"))
+
+
+def public_tier(source: Column, url: Column) -> Column:
+    """The tier that a source's name suggests; without one, government hosts are T3 and the rest T4."""
+    t = F.lower(F.coalesce(source, F.lit("")))
+    out = F.when(t.contains(PUBLIC_TIERS[0][0]), PUBLIC_TIERS[0][1])
+    for word, tier in PUBLIC_TIERS[1:]:
+        out = out.when(t.contains(word), tier)
+    return out.when(F.coalesce(url, F.lit("")).contains(".gov"), "T3").otherwise("T4")
+
+
+#: Spellings rewritten in prose.
+SPELLINGS = (("programme", "program"), ("labour", "labor"), ("centre", "center"), ("fertiliser", "fertilizer"), ("neighbour", "neighbor"), ("organis", "organiz"))
+
+
+def respelled(text: str | None) -> str | None:
+    """Rewrites spellings word by word, case kept, with URLs and names in capitals shielded."""
+    if text is None:
+        return None
+    kept: list[str] = []
+
+    def shield(m: re.Match) -> str:
+        kept.append(m[0])
+        return f"\x00{len(kept) - 1}\x00"
+
+    t = re.sub(r"https?://\S+|\b[A-Z][A-Z0-9]{2,}\b", shield, text)
+    for old, new in SPELLINGS:
+        t = re.sub(old, lambda m, new=new: new[0].upper() + new[1:] if m[0][0].isupper() else new, t, flags=re.I)
+    return re.sub(r"\x00(\d+)\x00", lambda m: kept[int(m[1])], t)
+
+
+def respell(c: Column) -> Column:
+    @F.pandas_udf(T.StringType())
+    def rewrite(t: pd.Series) -> pd.Series:
+        return t.map(respelled)
+
+    return rewrite(c)
+
+
+def supported(number: float, places: int, known: list[float]) -> bool:
+    """Whether a written figure is a known one at the precision it is written in, or a sum, difference, product or ratio of two of them."""
+    same = lambda x: abs(round(x, places) - number) < 10 ** -(places + 6)
+    if any(same(k) for k in known):
+        return True
+    return any(same(v) for a in known for b in known for v in (a + b, a - b, a * b, *((a / b, 100 * a / b) if b else ())))

@@ -100,3 +100,9 @@ def test_sinks(spark, tmp_path):
     sinks.write_assembled({"a": a, "b": a.where("x = 3")}, ["subject"], str(tmp_path / "all"))
     rows = {r["subject"]: r for r in spark.read.json(str(tmp_path / "all")).collect()}
     assert [x["x"] for x in rows["s"]["a"]] == [1, 2] and rows["s"]["b"] is None
+
+
+def test_respelling_and_support():
+    assert tx.respelled("Programme at https://x.example/programme, PROGRAMME; labour centre") == "Program at https://x.example/programme, PROGRAMME; labor center"
+    assert tx.respelled(None) is None
+    assert tx.supported(12.3, 1, [12.34]) and tx.supported(7, 0, [3, 4]) and tx.supported(75, 0, [3, 4]) and not tx.supported(13.3, 1, [12.34]) and not tx.supported(5, 0, [])
