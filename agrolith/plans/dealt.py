@@ -92,6 +92,30 @@ def _orphan_sql(table_name: str, key: str, field: str, at: str, targets: str, ta
       WHERE t.k IS NULL OR retired_on <= at_time OR added_on > at_time"""
 
 
+def _quantity_sql() -> str:
+    """Problem 3 with the same list of unit names, scales taken as names too, and one regular expression without look-around."""
+    names = ", ".join("({}, {})".format(*("'" + x.replace("'", "''") + "'" for x in (u, a))) for u, al in units.ALIASES.items() for a in dict.fromkeys((u.lower(), *al)))
+    scales = ", ".join("({}, {:.0f})".format("'" + w.replace("'", "''") + "'", f) for w, f in units._SCALES.items())
+    plain = lambda c: f"lower(trim(regexp_replace(translate({c}, '{units._FROM}', '{units._TO.replace(chr(39), chr(39) * 2)}'), '[\\s\\x{{A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}]+', ' ', 'g')))"
+    hedge = units._HEDGE.replace("'", "''")
+    shape = f"^((?:{hedge}\\s*)*)([^0-9(]*?)\\s*((?:{hedge}\\s*)*)([0-9]+(?:[ ''][0-9]{{3}}|[.,][0-9]+)*)\\s*([^0-9].*)?$"
+    return f"""WITH al(unit, k) AS (SELECT DISTINCT * FROM (VALUES {names})), nm AS (SELECT al.k, u.quantity, u.factor FROM al JOIN unit_factors u USING (unit)), sc(w, f) AS (VALUES {scales}),
+      ks AS (SELECT k, quantity, factor, 1.0 AS scale, 0 AS p FROM nm UNION ALL SELECT w || sep || k, quantity, factor, f, 1 FROM nm, sc, (VALUES (' '), (' of '), ('')) s(sep) UNION ALL SELECT w, q.quantity, NULL, f, 2 FROM sc, (SELECT DISTINCT quantity FROM unit_factors) q),
+      k1 AS (SELECT k, quantity, first(factor ORDER BY p) AS factor, first(scale ORDER BY p) AS scale FROM ks GROUP BY ALL),
+      c AS (SELECT DISTINCT cell_id, u.quantity, u.factor AS tf, {plain('value')} AS v, coalesce({plain('value_unit')}, '') AS uf,
+        {plain("regexp_extract(notes, '(?i)^(?:unit as published: |nb: |the source reports this in |figure given in )(.+?)(?:, not converted)?[.]$', 1)")} AS nt FROM research_cells JOIN indicators i USING (indicator_id) JOIN unit_factors u ON u.unit = i.unit WHERE length(value) <= 200),
+      m AS (SELECT *, regexp_extract(v, '{shape}', 2) AS ahead, regexp_extract(v, '{shape}', 4) AS num, trim(regexp_replace(regexp_extract(v, '{shape}', 5), '\\s*[(]((?:19|20)[0-9][0-9][^)]*|provisional|latest|estimate|revised)[)]$', '')) AS after FROM c WHERE regexp_matches(v, '{shape}')),
+      n AS (SELECT *, regexp_replace(num, '[ '']', '', 'g') AS a FROM m),
+      o AS (SELECT *, CASE WHEN regexp_matches(a, '^[0-9]+([.][0-9]{{3}})+,[0-9]+$') AND NOT regexp_matches(a, ',[0-9]{{3}}$') THEN replace(replace(a, '.', ''), ',', '.') WHEN regexp_matches(a, '[.].*[.]') THEN replace(a, '.', '')
+        WHEN regexp_matches(a, ',') AND regexp_matches(a, '^[0-9]+(,[0-9]{{3}})+([.][0-9]+)?$') THEN replace(a, ',', '') WHEN regexp_matches(a, ',.*,') THEN regexp_replace(replace(a, ',', ''), '^$', '') ELSE replace(a, ',', '.') END AS plain_number FROM n),
+      key AS (SELECT o.*, ka.factor AS af, ka.scale AS asc_, kb.factor AS bf, kb.scale AS bs, kf.factor AS ff, kf.scale AS fs, kn.factor AS nf, kn.scale AS ns FROM o
+        LEFT JOIN k1 ka ON ka.quantity = o.quantity AND ka.k = rtrim(o.after, '.') LEFT JOIN k1 kb ON kb.quantity = o.quantity AND kb.k = trim(o.ahead) LEFT JOIN k1 kf ON kf.quantity = o.quantity AND kf.k = rtrim(o.uf, '.') LEFT JOIN k1 kn ON kn.quantity = o.quantity AND kn.k = rtrim(o.nt, '.')
+        WHERE (o.after = '' OR ka.k IS NOT NULL) AND (trim(o.ahead) = '' OR kb.k IS NOT NULL)),
+      r AS (SELECT cell_id, tf, plain_number::decimal(28,8) AS x, coalesce(asc_, 1) * coalesce(bs, 1) AS ts, coalesce(af, bf) AS txf, ff, fs, nf, ns, coalesce(asc_, 1) AS after_scale FROM key),
+      z AS (SELECT cell_id, x, CASE WHEN ff IS NOT NULL THEN ff * CASE WHEN txf IS NOT NULL AND after_scale = fs THEN fs ELSE ts * fs END WHEN txf IS NOT NULL THEN txf * ts WHEN nf IS NOT NULL THEN nf * ns * ts ELSE tf * ts END / tf AS m FROM r)
+      SELECT cell_id, CAST(floor(x * (m::decimal(17,6)) * 1000 + 0.5) AS BIGINT) AS value_milli FROM z"""
+
+
 _P6 = " UNION ALL ".join((
     _orphan_sql("indicator_census", "census_id", "merged_into", "decided_at", "indicators", "indicator_id"),
     _orphan_sql("indicator_census", "census_id", "prerequisite", "decided_at", "use_cases", "code"),
@@ -100,6 +124,7 @@ _P6 = " UNION ALL ".join((
 ORACLES = {
     "p5_found": _diff_sql("research_cells", "research_cells_copy", "cell_id", ("subject", "indicator_id", "value_type", "value", "year", "tier", "presence_rung", "quality_evidence"))
     + " UNION ALL " + _diff_sql("register_entries", "register_copy", "entry_id", ("run_id", "subject", "name", "lead", "uc", "status", "scale", "funding", "results", "results_tier", "overlap", "tier", "src", "src_url", "verification_note")),
+    "p3_found": _quantity_sql(),
     "p6_found": _P6,
     "p6_by_month": f"SELECT table_name, field, ym, state, count(*) AS orphans FROM ({_P6}) GROUP BY ALL",
 }
