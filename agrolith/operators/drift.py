@@ -7,7 +7,8 @@ starts and endings are changes; a start and an ending in one file whose values a
 Files of a feed are in the order of their number, whatever the order of arrival; a number may be missing. Payloads that are no
 JSON objects are left out, and a file without any valid record is no file. A field that is null throughout is present without
 a type. If the records of one file disagree on a field's type, the type that most of them have counts, then the first by name.
-Records sent twice count once. Empty tables give empty results.
+Records sent twice count once; records without feed or file number belong to no file; those without
+an id count for the fields of their file, but not for renamings. Empty tables give empty results.
 """
 
 from __future__ import annotations

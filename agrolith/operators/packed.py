@@ -29,7 +29,7 @@ _LIST_MARK = re.compile(r"^(?:[-*•·–—▪]+(?:\s+|$)|\d{1,3}[.)]\s+)+")
 _CODE = re.compile(r"[^\W_](?:(?:[^\W_]|[.\-])*[^\W_])?")
 _BRACKETS = {"[": "]", "(": ")", "{": "}"}
 #: With more known values than this the dictionary is joined instead of broadcast.
-DICTIONARY_BOUND = 200_000
+DICTIONARY_BOUND = 50_000
 MAX_DICTIONARY_CHARS = 400
 
 Spans = list[tuple[int, int]]

@@ -60,7 +60,8 @@ def test_small_cases(spark):
         ("f", 4, {"id": "a", "y": ["1"], "n": "5", "late": None}), ("f", 9, {"id": "a", "y": [], "x": 7, "late": False}), ("g", 1, {"id": "a", "é ü": {"t": 1}}),
     ]
     records = [(f, n, json.dumps(r)) for f, n, r in rows] + [("f", 2, '{"id": "a", "x"'), ("f", 4, "[1]"), ("f", 4, None), ("f", 3, json.dumps(rows[2][2]))]
-    df = spark.createDataFrame([(*r, "noise") for r in records], "feed string, file_no int, payload string, field string")
+    lost = [(None, 1, json.dumps(rows[0][2]), "noise"), ("f", None, json.dumps(rows[0][2]), "noise")]
+    df = spark.createDataFrame([(*r, "noise") for r in records] + lost, "feed string, file_no int, payload string, field string")
     got = set(map(tuple, drift.schema_changes(df).collect()))
     assert got == slow_changes(records)
     assert ("f", 3, "renamed", "x", "y") in got and ("f", 4, "retyped", "y", "") in got and ("f", 3, "removed", "gone", "") in got and ("f", 9, "added", "x", "") in got
