@@ -61,6 +61,7 @@ def test_assignment_is_optimal(cost):
 
 def test_links_in_tables(spark):
     rows = [("X", "lead", t) for t in ("Kongorkonar Water Development Bank", "KONGORKONAR WATER DEV. BANK", "Kongorkonar Water Development Bank", "Kongorkonar Soil Development Bank", None, "", "  ", "***", "Francis Nanvarantan", "F. Nanvarantan", "w " * 3000)]
+    rows += [(None, "lead", "Francis Nanvarantan"), (None, "lead", "Frank Nanvarantan"), ("X", None, "Francis Nanvarantan"), ("X", None, "Frank Nanvarantan")]
     rows += [("Y", "lead", "Kongorkonar Water Dev Bank"), ("X", "name", "Kongorkonar Water Dev Bank")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "subject string, field string, text string, token string")
     got = {(r["subject"], r["field"], r["text_a"], r["text_b"]) for r in n.link_variants(df).collect()}
