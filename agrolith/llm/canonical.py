@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agrolith.session import checkpointed
+
 #: Edits that the join finds.
 K = 4
 
@@ -97,12 +99,13 @@ def pigeonhole_join(typed: DataFrame, forms: DataFrame, k: int = K) -> DataFrame
 
 def map_values(values: DataFrame, column: str, reference: DataFrame, key: str = "ref_id", group: str = "tier", label: str = "label", k: int = K) -> DataFrame:
     """text, ref_id for every distinct non-blank text of the column, 0 where it fits no entry."""
-    texts = read_tier(values.select(column).where(F.trim(F.regexp_replace(column, r"\s", " ")) != "").distinct(), column)
+    # read and parsed once; what follows works on distinct texts
+    texts = checkpointed(read_tier(values.select(column).where(F.trim(F.regexp_replace(column, r"\s", " ")) != "").distinct(), column))
     groups = reference.select(F.col(key).alias("ref_id"), F.regexp_extract(group, r"(\d+)", 1).try_cast("int").alias("group_no"), plain_text(F.col(label)).alias("label"))
     bare = texts.where("words rlike '^(unspecified|unknown|not specified)?$' and tier_no is not null")
     by_tier = bare.join(groups.where("label like '%unspecified%'"), F.col("tier_no") == F.col("group_no")).select("text", "ref_id")
     worded = texts.where("words <> ''")
-    forms = reference_forms(reference.where(~F.lower(label).contains("unspecified")), key, label)
+    forms = checkpointed(reference_forms(reference.where(~F.lower(label).contains("unspecified")), key, label))
     words = worded.select("words").distinct()
     exact = words.join(forms, words["words"] == forms["form"]).select("words", "ref_id", F.lit(0).alias("distance"))
     fuzzy = pigeonhole_join(words.join(forms, words["words"] == forms["form"], "left_anti"), forms, k)
