@@ -49,7 +49,8 @@ def catalogue(exploded: DataFrame) -> DataFrame:
     """
     per = exploded.groupBy("feed", "file_no", "field", "type").agg(F.count("*").alias("n"))
     order = F.struct(F.when(F.col("type").isNotNull(), F.col("n")).otherwise(-1), F.translate("type", "abcdefghijklmnopqrstuvwxyz", "zyxwvutsrqponmlkjihgfedcba"), F.col("type"))
-    fields = per.groupBy("feed", "file_no", "field").agg(F.max_by("type", order).alias("type"), F.sum("n").alias("records"))
+    # written, as it is used twice and the records are not to be parsed twice
+    fields = checkpointed(per.groupBy("feed", "file_no", "field").agg(F.max_by("type", order).alias("type"), F.sum("n").alias("records")))
     files = fields.select("feed", "file_no").distinct()
     w = W.partitionBy("feed").orderBy("file_no")
     ranked = files.select("feed", "file_no", F.row_number().over(w).alias("seq"), F.lag("file_no").over(w).alias("previous"), F.lead("file_no").over(w).alias("next"))
@@ -74,13 +75,13 @@ def renames(exploded: DataFrame, span: DataFrame) -> DataFrame:
     gone = span.where("after is not null").select("feed", F.col("after").alias("file_no"), F.col("last_file").alias("old_file"), F.col("field"))
     new = span.where("before is not null").select("feed", F.col("first_file").alias("file_no"), F.col("before").alias("old_file"), F.col("field").alias("new_field"))
     pairs = checkpointed(gone.join(new, ["feed", "file_no", "old_file"]))
-    # few cells stand beside a change: they are picked before anything is shuffled
-    values = exploded.where("value is not null and rid is not null").select("feed", "file_no", "rid", "field", "value")
-    left = broadcast_if_small(pairs.select("feed", "file_no", "old_file", "field").distinct())
-    right = broadcast_if_small(pairs.select("feed", "file_no", "old_file", "new_field").distinct())
-    old = values.select("feed", F.col("file_no").alias("old_file"), "rid", "field", F.col("value").alias("old_value")).join(left, ["feed", "old_file", "field"]).distinct()
-    now = values.select("feed", "file_no", "rid", F.col("field").alias("new_field"), "value").join(right, ["feed", "file_no", "new_field"]).distinct()
-    both = old.join(now, ["feed", "file_no", "old_file", "rid"])
+    # few cells stand beside a change: they are picked in one pass, before anything is shuffled
+    roles = pairs.select("feed", F.inline(F.array(F.struct(F.col("old_file").alias("at"), "field", F.col("file_no").alias("change"), F.lit("old").alias("role")), F.struct(F.col("file_no").alias("at"), F.col("new_field").alias("field"), F.col("file_no").alias("change"), F.lit("new").alias("role"))))).distinct()
+    values = exploded.where("value is not null and rid is not null").select("feed", F.col("file_no").alias("at"), "rid", "field", "value")
+    picked = checkpointed(values.join(broadcast_if_small(checkpointed(roles)), ["feed", "at", "field"]).select("feed", "change", "role", "rid", "field", "value").distinct())
+    old = picked.where("role = 'old'").select("feed", F.col("change").alias("file_no"), "rid", "field", F.col("value").alias("old_value"))
+    now = picked.where("role = 'new'").select("feed", F.col("change").alias("file_no"), "rid", F.col("field").alias("new_field"), "value")
+    both = old.join(now, ["feed", "file_no", "rid"])
     score = both.groupBy("feed", "file_no", "field", "new_field").agg(F.count("*").alias("n"), F.count_if(F.col("value") == F.col("old_value")).alias("same"))
     good = score.where(F.col("same") * 2 > F.col("n"))
     # one partner each: the pair that agrees best, then by name
@@ -123,8 +124,8 @@ def retyped(cat: DataFrame, line: DataFrame) -> DataFrame:
 def schema_changes(records: DataFrame) -> DataFrame:
     """Every change of schema: feed, file_no, change_kind (renamed, removed, added, retyped), field, new_field."""
     exploded = cells(records)
-    # the catalogue and what follows from it are small and used again and again
-    cat = checkpointed(catalogue(exploded))
+    # what follows from the catalogue is small and used again and again
+    cat = catalogue(exploded)
     span = checkpointed(spans(cat))
     renamed = checkpointed(renames(exploded, span))
     ends = span.where("after is not null").select("feed", F.col("after").alias("file_no"), "field")
@@ -165,7 +166,7 @@ def _cast(text: Column, kind: Column, value: Column, to: str) -> Column:
 def consistent_table(records: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
     """feed, file_no, rid, the target's columns, extra: every valid record once, whatever its fields were called and typed."""
     exploded = cells(records)
-    cat = checkpointed(catalogue(exploded))
+    cat = catalogue(exploded)
     span = checkpointed(spans(cat))
     alias = broadcast_if_small(checkpointed(aliases(lineages(span, renames(exploded, span)), target)))
     at = exploded.where("rid is not null").alias("c").join(alias.alias("a"), (F.col("c.feed") == F.col("a.feed")) & (F.col("c.field") == F.col("a.field")) & F.col("c.file_no").between(F.col("a.first_file"), F.col("a.last_file")))
