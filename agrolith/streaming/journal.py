@@ -13,8 +13,12 @@ EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of files; on a cluster the same plan reads a topic."""
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    """The events as a stream of files, the table being one file or a folder of them; on a cluster the same plan reads a topic."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory()
+    reader = spark.readStream.schema(EVENTS)
+    stream = reader.parquet(f"{sf_dir}/events.parquet") if folder else reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def windowed_totals(events: DataFrame, window: str = "1 day", late: str = "1 day") -> DataFrame:
