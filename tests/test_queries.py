@@ -1,7 +1,7 @@
 """Every query of the core against its SQL; those without SQL must run and keep a schema."""
 
 import pytest
-from conftest import same_as_sql
+from sqlcheck import same_as_sql
 
 from agrolith.plans import dealt, evidence, reports, rules, scoring, streams
 
