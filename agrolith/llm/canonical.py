@@ -45,15 +45,15 @@ def plain_text(column):
 
 
 def read_tier(values: DataFrame, column: str = "tier") -> DataFrame:
-    """text, tier_no (the tier that the text names, else null), words (what it says besides, in plain words)."""
+    """text, tier_no (the tier that the text names, else null), words (what it says besides, in plain words), all_words (opening words kept)."""
     t = values.select(F.col(column).alias("text"), plain_text(F.col(column)).alias("t"))
     lead, tail = F.regexp_extract("t", _LEAD, 1), F.regexp_extract("t", _TAIL, 1)
     numeral = F.regexp_extract("t", _LEAD, 2)
     names = F.create_map(*[F.lit(x) for pair in _NUMERALS.items() for x in pair])
     t = t.select("text", F.coalesce(F.when(lead != "", lead.try_cast("int")), F.when(numeral != "", F.try_element_at(names, numeral)), F.when(tail != "", tail.try_cast("int"))).alias("tier_no"), F.regexp_replace(F.regexp_replace("t", _LEAD, ""), _TAIL, "").alias("t"))
     t = t.select("text", "tier_no", F.regexp_replace(F.trim(F.regexp_replace(F.translate("t", "()[]", "    "), r"\s+\d{4}(?:\s+season)?\s*$", "")), _REMARKS, "").alias("t"))
-    t = t.select("text", "tier_no", F.regexp_replace(F.trim("t"), _OPENERS, "").alias("t"))
-    return t.select("text", "tier_no", F.trim(F.regexp_replace(F.regexp_replace(F.translate("t", "'", ""), r"[^\p{L}\p{N}]+", " "), r"\s+", " ")).alias("words"))
+    bare = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.translate(c, "'", ""), r"[^\p{L}\p{N}]+", " "), r"\s+", " "))
+    return t.select("text", "tier_no", bare(F.regexp_replace(F.trim("t"), _OPENERS, "")).alias("words"), bare(F.trim("t")).alias("all_words"))
 
 
 def reference_forms(reference: DataFrame, key: str, label: str) -> DataFrame:
@@ -104,7 +104,8 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, key: str =
     groups = reference.select(F.col(key).alias("ref_id"), F.regexp_extract(group, r"(\d+)", 1).try_cast("int").alias("group_no"), plain_text(F.col(label)).alias("label"))
     bare = texts.where("words rlike '^(unspecified|unknown|not specified)?$' and tier_no is not null")
     by_tier = bare.join(groups.where("label like '%unspecified%'"), F.col("tier_no") == F.col("group_no")).select("text", "ref_id")
-    worded = texts.where("words <> ''")
+    # an opening word may also be a slip of a name's first word, so that both readings are looked up
+    worded = texts.where("words <> ''").select("text", "tier_no", F.explode(F.array_distinct(F.array("words", "all_words"))).alias("words"))
     forms = checkpointed(reference_forms(reference.where(~F.lower(label).contains("unspecified")), key, label))
     words = worded.select("words").distinct()
     exact = words.join(forms, words["words"] == forms["form"]).select("words", "ref_id", F.lit(0).alias("distance"))
