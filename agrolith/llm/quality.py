@@ -36,7 +36,7 @@ COMMON = frozenset(
     más me mi mientras misma mismo muy nadie ni no nos nunca o otra otras otro otros para pero poco pocos por porque pronto que qué quien quién se según ser si sido sin sobre solo son su sus también tan tiene toda todavía todo todos tras tres un una uno unos usa veces y ya""".split()
 )
 MIN_WORDS = 6
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_WORD = re.compile(r"[^\W\d_]+")
 _BULLET = re.compile(r"^\s*(?:[-*+•–—·▪◦‣●○□☐☑]|o(?=\s)|\[[ xX]?\]|\(?(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,5})[.)])\s+")
 _TAG = re.compile(r"</?(?:p|br|div|span|b|i|em|strong|h[1-6]|li|ul|ol|section|article|body|html|a)\b[^<>]*>", re.I)
 _ROW_TAG = re.compile(r"</?(?:tr|td|th|table|tbody|thead)\b", re.I)
@@ -49,7 +49,7 @@ _LABELS = re.compile(r"\s+(?:>|›|»(?=\s+[^\s>·|])|·|•|\||/|→)\s+")
 _ODD = re.compile("[�\x80-\x9f\x00-\x08\x0b\x0e-\x1f]")
 _DOUBLE = re.compile("[ÃÂâ][\x80-\xbf€™œž‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜š›Ÿ]")
 _SUSPECT = re.compile("[�\x80-\x9f\x00-\x08\x0b\x0e-\x1fÃÂâ]")
-_LETTER, _DIGIT, _DENSE = re.compile(r"[^\W\d_]"), re.compile(r"\d"), re.compile(r"\S")
+_DIGITS = re.compile(r"\d+")
 _HEX = re.compile(r"(?:0x)?[0-9a-fA-F]{2,8}|[01]{6,}")
 _ODD_TOKEN = re.compile(r"[^\W\d_]\d[^\W\d_]|\d[^\W\d_]{2,}\d|[^\W\d_]\|[^\W_]|[bcdfghjklmnpqrstvwxz]{6,}|^[bcdfghjklmnpqrstvwxz]{4,}$")
 _ODD_CELL = re.compile(r"[^\w\s.,;:%‰()/'’&+|\-–—\"$€£]")
@@ -62,7 +62,7 @@ def common_share(words: list[str]) -> float:
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in _WORD.findall(text.lower().replace("’", "'").replace("'", " "))]
+    return _WORD.findall(text.lower())
 
 
 def garbled_share(text: str) -> float:
@@ -107,15 +107,15 @@ def _cells(line: str) -> tuple[str, int]:
 
 def _junk_line(s: str, words: list[str], common: float) -> bool:
     """Whether a line can't be read by anyone: symbols, encodings, dumps, navigation. ``common``: its share of common words."""
-    dense = len(_DENSE.findall(s))
+    tokens = s.split()
+    dense = sum(map(len, tokens))
     if not dense:
         return False
     if garbled_share(s) > 0.04:
         return True
-    letters, digits = len(_LETTER.findall(s)), len(_DIGIT.findall(s))
+    letters, digits = sum(map(len, words)), sum(map(len, _DIGITS.findall(s)))
     if dense >= 8 and (dense - letters - digits) / dense > 0.45:
         return True
-    tokens = s.split()
     longest = max(map(len, tokens), default=0)
     if longest >= 40 and not re.match(r"\W*(?:https?:|www\.)", max(tokens, key=len)) and longest > 0.4 * len(s):
         return True
@@ -139,16 +139,24 @@ def _junk_line(s: str, words: list[str], common: float) -> bool:
 
 
 def periodic_share(words: list[str], longest: int = 64) -> float:
-    """The greatest share of words that equal the word a fixed distance before, over distances up to ``longest``."""
+    """The greatest share of words that equal the word a fixed distance before, over the distances up to ``longest`` at which words most often return."""
     n = len(words)
     if n < 10:
         return 0.0
     if len(set(words)) > 0.4 * n + min(longest, n // 5):
         return 0.6  # more different words than a share above this allows
-    ids: dict[str, int] = {}
-    seq = [ids.setdefault(w, len(ids)) for w in words]
-    a = np.array(seq, np.int32)
-    return max((np.count_nonzero(a[p:] == a[:-p]) / (n - p) for p in range(1, min(longest, n // 5) + 1)), default=0.0)
+    last: dict[str, int] = {}
+    back: list[int] = []
+    for i, w in enumerate(words):
+        if w in last:
+            back.append(i - last[w])
+        last[w] = i
+    often = [p for p, _ in Counter(p for p in back if p <= min(longest, n // 5)).most_common(4)]
+    if not often:
+        return 0.0
+    ids = {w: i for i, w in enumerate(last)}
+    a = np.array([ids[w] for w in words], np.int32)
+    return max(np.count_nonzero(a[p:] == a[:-p]) / (n - p) for p in often)
 
 
 def _item_like(content: str, words: list[str]) -> bool:
