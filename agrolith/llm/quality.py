@@ -4,7 +4,9 @@ A text is cut into lines; each line, or run of lines that belong together, is re
 that holds most characters is the document's kind. Prose in any layout (wrapped, numbered paragraphs, headings, upper case,
 simple markup, a short list or table in it) stays prose. Signs used: cells and their agreement from line to line; list marks
 and the length and wording of items; the share of common words of the four languages; symbols, encodings and machine formats;
-repetition (of lines, paragraphs and of word sequences at a fixed distance, and the coverage of the dominant n-grams).
+repetition (of lines, paragraphs and of word sequences at a fixed distance, and the coverage of the dominant n-grams). Lines of
+prose that stand REPEATS times, alone or in paragraphs that do, are junk in all their places, as are words of which one n-gram
+covers more than DOMINANT; fewer copies are prose.
 
 Defined results: null and blank texts have zero counts, null shares and no kind; a text too short to judge (under MIN_WORDS
 words and in no layout) counts as prose; ties between kinds go to prose, then list, table, junk. Texts are read whole, at a
@@ -36,6 +38,9 @@ COMMON = frozenset(
     más me mi mientras misma mismo muy nadie ni no nos nunca o otra otras otro otros para pero poco pocos por porque pronto que qué quien quién se según ser si sido sin sobre solo son su sus también tan tiene toda todavía todo todos tras tres un una uno unos usa veces y ya""".split()
 )
 MIN_WORDS = 6
+#: The number of equal lines or paragraphs that makes them junk, and the share of a text's words (by characters) above which one n-gram does.
+REPEATS = 5
+DOMINANT = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 _BULLET = re.compile(r"^\s*(?:[-*+•–—·▪◦‣●○□☐☑]|o(?=\s)|\[[ xX]?\]|\(?(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,5})[.)])\s+")
 _TAG = re.compile(r"</?(?:p|br|div|span|b|i|em|strong|h[1-6]|li|ul|ol|section|article|body|html|a)\b[^<>]*>", re.I)
@@ -170,7 +175,15 @@ def weigh(text: str) -> dict[str, int]:
     """Characters of the text read as prose, list, table and junk; headings count for nothing."""
     weight = dict.fromkeys(("prose", *KINDS), 0)
     body = text.replace("\r\n", "\n").replace("\r", "\n").replace("\u2028", "\n").replace("\x0b", "\n").replace("\x0c", "\n")
-    lines = [l for l in (_TAG.sub(" ", x) if "<" in x and not _ROW_TAG.search(x) else x for x in body.split("\n")) if l.strip()]
+    lines: list[str] = []
+    paragraphs: list[list[int]] = [[]]
+    for x in body.split("\n"):
+        l = _TAG.sub(" ", x) if "<" in x and not _ROW_TAG.search(x) else x
+        if l.strip():
+            paragraphs[-1].append(len(lines))
+            lines.append(l)
+        elif paragraphs[-1]:
+            paragraphs.append([])
     words = [words_of(l) for l in lines]
     common = [common_share(w) for w in words]
     n = len(lines)
@@ -227,11 +240,41 @@ def weigh(text: str) -> dict[str, int]:
             for i in prose[start:end]:
                 kinds[i] = "junk"
         start = end
+    # repetition over the whole text
+    for i in _repeated(lines, paragraphs):
+        if kinds[i] == "prose":
+            kinds[i] = "junk"
+    prose = [i for i in range(n) if kinds[i] == "prose"]
+    if len(prose) > 1 and dominated([w for i in prose for w in words[i]]):
+        for i in prose:
+            kinds[i] = "junk"
     for i in range(n):
         weight[kinds[i] if kinds[i] != "head" else "prose"] += 0 if kinds[i] == "head" else len(lines[i].strip())
     return weight
 
 
+def _repeated(lines: list[str], paragraphs: list[list[int]]) -> set[int]:
+    """Numbers of the lines that stand REPEATS times or are part of a paragraph that does, however it is wrapped."""
+    found: set[int] = set()
+    for parts in ([[i] for i in range(len(lines))], paragraphs):
+        if len(parts) < REPEATS:
+            continue
+        texts = [" ".join(" ".join(lines[i] for i in p).split()) for p in parts]
+        times = Counter(texts)
+        found.update(i for p, t in zip(parts, texts, strict=True) if times[t] >= REPEATS for i in p)
+    return found
+
+
+def dominated(words: list[str]) -> bool:
+    """Whether one 2-gram or 4-gram covers more than DOMINANT of 24 words or more."""
+    if len(words) < 24:
+        return False
+    # an n-gram covers no more than its words do, so that one word must have a quarter of DOMINANT
+    if max(times * len(w) for w, times in Counter(words).items()) * 4 <= DOMINANT * sum(map(len, words)):
+        return False
+    return max(top_ngram_share(words, 2), top_ngram_share(words, 4)) > DOMINANT
+
+
 def _natural(words: list[str], ended: bool) -> bool:
     """Whether the words of a passage read as natural prose: common words among them, no endless repetition.
 
@@ -242,7 +285,7 @@ def _natural(words: list[str], ended: bool) -> bool:
     if common_share(words) < 0.12:
         long = [w for w in words if len(w) > 2]
         return ended and len(words) <= 30 and len(set(words)) > 0.7 * len(words) and sum(bool(re.search("[aeiouyàáâäãåéèêëíìîïóòôöõúùûüæœ]", w)) for w in long) > 0.9 * len(long)
-    if len(words) >= 24 and periodic_share(words) > 0.6:
+    if len(words) >= 24 and periodic_share(words) > 0.6 or dominated(words):
         return False
     return not (len(words) >= 40 and len(set(words)) <= 8)
 

@@ -1,5 +1,6 @@
 import base64
 import random
+import textwrap
 
 import pytest
 
@@ -36,6 +37,31 @@ def test_long_texts_are_read_whole():
     assert q.classify(PROSE + "\n" + "\n".join(f"- maize {i}" for i in range(3000))) == "list"
 
 
+LONG = "The committee that looks after the water meters of Gorkupa told us in its last letter that most of the growers would rather wait for another season than pay for a service that none of their neighbours has tried. "
+
+
+def test_repeated_lines_and_paragraphs_are_junk():
+    others = [" ".join(random.Random(i).sample(LONG.split(), 30)) + "." for i in range(12)]
+    blocks = [LONG + "\n" + PROSE, PROSE + "\n" + LONG]
+    for text in (
+        "\n".join([LONG] * 40), "\r\n\r\n".join([LONG] * 9), "\n\n".join(blocks * 6), "\n".join(others[:3] * 10), "\n".join(others[:2] + [LONG] * 12),
+        "\n\n".join(textwrap.fill(LONG, w) for w in (100, 110, 120, 130, 140, 150)),
+    ):
+        assert q.classify(text) == "junk" == q.statistics(text)[-1], text
+    for text in ("\n".join([LONG] * 4), "\n\n".join(others), "\n".join(others + [LONG] * 5)):
+        assert q.classify(text) is None, text
+
+
+def test_dominant_ngrams_are_junk():
+    pick = random.Random(3)
+    rest = [w for w in LONG.lower().split() if len(w) < 6]
+    lines = [" ".join("agricultural insurance " + " ".join(pick.sample(rest, pick.randint(1, 5))) for _ in range(9)) + "." for _ in range(20)]
+    assert q.classify(" ".join(lines)) == "junk" and q.classify("\n".join(lines)) == "junk"
+    for words in (("agricultural insurance of the " * 7).split(), LONG.split() * 3, ["a"] * 30, list("abcd") * 9):
+        words = [w for w in q.words_of(" ".join(words))]
+        assert q.dominated(words) == (max(q.top_ngram_share(words, 2), q.top_ngram_share(words, 4)) > q.DOMINANT)
+
+
 def test_documents(spark, data):
     from agrolith.llm.queries import p10_found, p10_quality
 
