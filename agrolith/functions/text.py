@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from functools import reduce
@@ -190,6 +191,48 @@ def numeric_mentions(c: Column) -> Column:
     return extract(c)
 
 
+_PLAIN_KEY = re.compile(r"[A-Za-z0-9_]+")
+
+
+def _not_json(constant: str) -> None:
+    raise ValueError(constant)
+
+
+def leaf_paths_of(payload: str | None) -> list[dict] | None:
+    """path and type of every leaf of a JSON text, None if it isn't valid.
+
+    Keys are joined by dots, items have their number in brackets; a key with other characters than ASCII letters, digits and
+    underscores is quoted as in JSON. Empty arrays and objects are leaves. The path of a bare value is empty.
+    """
+    try:
+        # objects come as tuples of pairs, so that a key that stands twice is kept; numbers only matter as such
+        root = json.loads(payload or "", object_pairs_hook=tuple, parse_int=float, parse_constant=_not_json)
+    except (ValueError, RecursionError):
+        return None
+    out, rest = [], [("", root)]
+    while rest:
+        path, v = rest.pop()
+        if isinstance(v, (tuple, list)) and v:
+            if isinstance(v, tuple):
+                keys = [k if _PLAIN_KEY.fullmatch(k) else json.dumps(k, ensure_ascii=False) for k, _ in v]
+                inner = [(f"{path}.{k}" if path else k, x) for k, (_, x) in zip(keys, v, strict=True)]
+            else:
+                inner = [(f"{path}[{i}]", x) for i, x in enumerate(v)]
+            rest += reversed(inner)
+        else:
+            kind = "null" if v is None else {str: "string", bool: "boolean", float: "number", list: "array", tuple: "object"}[type(v)]
+            out.append({"path": path, "type": kind})
+    return out
+
+
+def leaf_paths(c: Column) -> Column:
+    @F.pandas_udf("array<struct<path:string,type:string>>")
+    def extract(t: pd.Series) -> pd.Series:
+        return t.map(leaf_paths_of)
+
+    return extract(c)
+
+
 #: Source keywords and the tier of what they name, the first that fits decides.
 PUBLIC_TIERS = (("yearbook", "T1"), ("census", "T1"), ("survey", "T1"), ("journal", "T2"), ("gazette", "T3"), ("ministry", "T3"), ("bulletin", "T3"), ("brief", "T4"), ("programme", "T4"), ("note", "T4"))
 

@@ -112,12 +112,18 @@ def q_canonical_hash(spark, d):
 
 
 def q_flatten_paths(spark, d):
-    """Records flattened to path and leaf type: how many records have each path."""
+    """How many records have each key at the top level; flatten_leaves has the paths below them."""
     v = table(spark, d, "raw_records").select("record_id", F.try_parse_json("payload").alias("v")).where("v is not null")
     leaves = v.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("record_id", "key")
     return leaves.groupBy("key").agg(F.count_distinct("record_id").alias("records"))
 
 
+def q_flatten_leaves(spark, d):
+    """Records flattened to path and leaf type, down to the leaves: how many records have each."""
+    leaves = table(spark, d, "raw_records").select("record_id", F.inline(tx.leaf_paths(F.col("payload"))))
+    return leaves.groupBy("path", "type").agg(F.count_distinct("record_id").alias("records"))
+
+
 def q_quota_rank(spark, d):
     pages = table(spark, d, "research_cells").select("subject", "indicator_id", F.regexp_extract("tier", "^(T[1-5])$", 1).alias("tier"), F.col("source_url").alias("url")).where("tier <> '' and url is not null").distinct()
     picked = ranking.quota_rank(pages, ["subject", "indicator_id"], [F.col("tier"), F.col("url")])
@@ -291,6 +297,10 @@ ORACLES = {
     "html_strip": "SELECT doc_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g')) AS plain FROM documents WHERE text LIKE '%<%>%'",
     "canonical_hash": "SELECT DISTINCT cell_id, sha256(subject || chr(31) || indicator_id || chr(31) || coalesce(value, '')) AS digest FROM research_cells",
     "flatten_paths": "SELECT key, count(DISTINCT record_id) AS records FROM (SELECT record_id, unnest(json_keys(payload)) AS key FROM raw_records WHERE json_valid(payload)) GROUP BY key",
+    "flatten_leaves": """WITH v AS (SELECT record_id, CASE WHEN json_valid(payload) THEN payload END AS payload FROM raw_records),
+      n AS (SELECT record_id, ltrim(substr(t.fullkey, 2), '.') AS path, t.type, t.value::varchar AS value FROM v, json_tree(v.payload) t)
+      SELECT path, CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS type, count(DISTINCT record_id) AS records
+      FROM n WHERE type NOT IN ('ARRAY', 'OBJECT') OR value IN ('[]', '{}') GROUP BY ALL""",
     "quota_rank": """WITH p AS (SELECT DISTINCT subject, indicator_id, tier, source_url AS url FROM research_cells WHERE regexp_matches(tier, '^T[1-5]$') AND source_url IS NOT NULL),
       r AS (SELECT *, row_number() OVER (PARTITION BY subject, indicator_id ORDER BY tier, url) AS rank, row_number() OVER (PARTITION BY subject, indicator_id, tier ORDER BY tier, url) > CASE tier WHEN 'T1' THEN 4 WHEN 'T5' THEN 1 ELSE 2 END AS backfill FROM p)
       SELECT * FROM (SELECT subject, indicator_id, tier, url, backfill, CAST(row_number() OVER (PARTITION BY subject, indicator_id ORDER BY backfill, rank) AS INTEGER) AS position FROM r) WHERE position <= 10""",

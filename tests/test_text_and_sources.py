@@ -106,3 +106,26 @@ def test_respelling_and_support():
     assert tx.respelled("Programme at https://x.example/programme, PROGRAMME; labour centre") == "Program at https://x.example/programme, PROGRAMME; labor center"
     assert tx.respelled(None) is None
     assert tx.supported(12.3, 1, [12.34]) and tx.supported(7, 0, [3, 4]) and tx.supported(75, 0, [3, 4]) and not tx.supported(13.3, 1, [12.34]) and not tx.supported(5, 0, [])
+
+
+def test_flatten_to_leaves(spark, tmp_path):
+    from agrolith.plans.evidence import ORACLES, q_flatten_leaves
+
+    payload = '{"a": {"b": [1, {"c": null, "d": [], "e": {}}], "x.y": true}, "s": "t", "a b": [[2.5, "u"]]}'
+    assert [(x["path"], x["type"]) for x in tx.leaf_paths_of(payload)] == [
+        ("a.b[0]", "number"), ("a.b[1].c", "null"), ("a.b[1].d", "array"), ("a.b[1].e", "object"), ('a."x.y"', "boolean"), ("s", "string"), ('"a b"[0][0]', "number"), ('"a b"[0][1]', "string"),
+    ]
+    assert [tx.leaf_paths_of(x) for x in (None, "", '{"a": ', '{"a": NaN}', "[" * 100_000)] == [None] * 5
+    assert [tx.leaf_paths_of(x) for x in ("7", "[]")] == [[{"path": "", "type": "number"}], [{"path": "", "type": "array"}]]
+    deep = '{"k":' * 60 + "1" + "}" * 60
+    rows = [(1, payload), (2, '{"a": {"b": "x"}, "s": 4}'), (3, '{"a": {"b": [7'), (4, None), (5, deep), (6, '[{"a": {"b": "x"}}]'), (7, '{"a": {"b": "y"}}'), (8, "9" * 5000)]
+    spark.createDataFrame(rows, "record_id long, payload string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    next((tmp_path / "t").glob("*.parquet")).rename(tmp_path / "raw_records.parquet")
+    for x in (tmp_path / "t").iterdir():
+        x.unlink()
+    (tmp_path / "t").rmdir()
+    got = {(r["path"], r["type"]): r["records"] for r in q_flatten_leaves(spark, str(tmp_path)).collect()}
+    assert got["a.b", "string"] == 2 and got["a.b[1].d", "array"] == 1 and got[".".join(["k"] * 60), "number"] == 1 and got["[0].a.b", "string"] == 1 and got["", "number"] == 1
+    from sqlcheck import same_as_sql
+
+    same_as_sql(spark, str(tmp_path), q_flatten_leaves, ORACLES["flatten_leaves"])
