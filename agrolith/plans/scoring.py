@@ -103,13 +103,23 @@ def q_id_natural_sort(spark, d):
 
 
 def q_missing_ids(spark, d):
-    """Catalog entries in force that a run has no observation of."""
+    """Entries in force today that were in the catalog before 2022 and that a run has no observation of; missing_in_force has those of the run's time."""
     runs = table(spark, d, "observations").select("run_id", "subject", "indicator_id").distinct()
     ids = table(spark, d, "indicators").where("retired_on is null and added_on < timestamp_ntz '2022-01-01'").agg(F.collect_list("indicator_id").alias("ids"))  # fixed table, one row
     wanted = runs.select("run_id", "subject").distinct().withColumn("k", F.lit(1)).join(ids.withColumn("k", F.lit(1)), "k").select("run_id", "subject", F.explode("ids").alias("indicator_id"))
     return wanted.join(runs, ["run_id", "subject", "indicator_id"], "left_anti")
 
 
+def q_missing_in_force(spark, d):
+    """Catalog entries in force when a run began (added by then, not retired) that it has no observation of."""
+    o = table(spark, d, "observations").select("run_id", "subject", "indicator_id", "observed_at")
+    runs = o.groupBy("run_id", "subject").agg(F.min("observed_at").alias("began"))
+    entries = table(spark, d, "indicators").select(F.struct("indicator_id", "added_on", "retired_on").alias("e")).agg(F.collect_list("e").alias("entries"))  # fixed table, one row
+    wanted = runs.withColumn("k", F.lit(1)).join(entries.withColumn("k", F.lit(1)), "k").select("run_id", "subject", "began", F.inline("entries"))
+    wanted = wanted.where("(added_on is null or added_on <= began) and (retired_on is null or retired_on > began)").select("run_id", "subject", "indicator_id")
+    return wanted.join(o.select("run_id", "subject", "indicator_id").distinct(), ["run_id", "subject", "indicator_id"], "left_anti")
+
+
 def q_latest_obs(spark, d):
     """The latest value of each subject and indicator; of one year the greatest obs_id."""
     o = table(spark, d, "observations").where("value_num is not null and year is not null")
@@ -230,6 +240,8 @@ _SQL = {
     "vintage_histogram": _OBS + "SELECT subject, CASE WHEN year <= 2022 THEN '<=2022' ELSE year::varchar END AS bucket, count(*) AS n FROM s WHERE cls <> 'Gap' AND year IS NOT NULL GROUP BY ALL",
     "id_natural_sort": "SELECT indicator_id, CAST(row_number() OVER (ORDER BY split_part(indicator_id, '.', 1)::int, split_part(indicator_id, '.', 2)::int) AS INTEGER) AS position FROM (SELECT DISTINCT indicator_id FROM indicators)",
     "missing_ids": "WITH r AS (SELECT DISTINCT run_id, subject FROM observations) SELECT r.run_id, r.subject, i.indicator_id FROM r CROSS JOIN indicators i WHERE i.retired_on IS NULL AND i.added_on < TIMESTAMP '2022-01-01' AND NOT EXISTS (SELECT 1 FROM observations o WHERE o.run_id = r.run_id AND o.subject = r.subject AND o.indicator_id = i.indicator_id)",
+    "missing_in_force": """WITH r AS (SELECT run_id, subject, min(observed_at) AS began FROM observations GROUP BY ALL) SELECT r.run_id, r.subject, i.indicator_id FROM r JOIN indicators i ON (i.added_on IS NULL OR i.added_on <= r.began)
+      AND (i.retired_on IS NULL OR i.retired_on > r.began) WHERE NOT EXISTS (SELECT 1 FROM observations o WHERE o.run_id = r.run_id AND o.subject = r.subject AND o.indicator_id = i.indicator_id)""",
     "latest_obs": "SELECT subject, indicator_id, year, obs_id, value_num FROM (SELECT DISTINCT subject, indicator_id, year, obs_id, value_num FROM observations WHERE value_num IS NOT NULL AND year IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY subject, indicator_id ORDER BY year DESC, obs_id DESC) = 1",
     "run_compare": _RUNC + """SELECT p.subject, p.run_id, p.before, count(*) AS rows, count(*) FILTER (WHERE a.level IS NOT DISTINCT FROM b.level) AS same_level, count(*) FILTER (WHERE a.cls = b.cls) AS same_class,
       count(*) FILTER (WHERE a.level IS NOT NULL AND b.level IS NOT NULL) AS both_levelled, count(*) FILTER (WHERE abs(a.level - b.level) <= 1) AS within_one, count(*) FILTER (WHERE a.level > b.level) AS higher, count(*) FILTER (WHERE a.level < b.level) AS lower

@@ -30,3 +30,15 @@ def test_empty_groups_and_rounding(spark):
 
     for r in pairs.select("n", "s", F.round(F.col("s") / F.col("n"), 2).alias("m")).collect():
         assert r["m"] == float(Decimal(str(r["s"] / r["n"])).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def test_missing_entries_are_those_of_the_runs_time(spark, tmp_path):
+    from agrolith.plans.scoring import q_missing_in_force
+
+    day = "timestamp_ntz '{} 00:00:00'".format
+    spark.sql(f"select * from values ('1.1', {day('2021-01-01')}, null), ('1.2', {day('2021-01-01')}, {day('2023-04-30')}), ('1.3', {day('2025-05-01')}, null), ('1.4', null, {day('2024-01-01')}) t(indicator_id, added_on, retired_on)").write.parquet(str(tmp_path / "indicators.parquet"))
+    spark.sql(
+        f"select * from values ('r1', 'A', '1.1', {day('2022-02-01')}), ('r2', 'A', '1.1', {day('2023-04-30')}), ('r3', 'A', '1.2', {day('2025-05-01')}), ('r4', 'B', '1.3', {day('2026-01-01')}), ('r4', 'B', '1.1', {day('2026-01-03')}) t(run_id, subject, indicator_id, observed_at)"
+    ).write.parquet(str(tmp_path / "observations.parquet"))
+    got = sorted((r["run_id"], r["indicator_id"]) for r in q_missing_in_force(spark, str(tmp_path)).collect())
+    assert got == [("r1", "1.2"), ("r1", "1.4"), ("r2", "1.4"), ("r3", "1.1"), ("r3", "1.3")]
