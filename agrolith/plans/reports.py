@@ -85,11 +85,19 @@ def q_question_list(spark, d):
 
 
 def q_label_probes(spark, d):
-    """Titles of cells' sources and names of indicators that a probe's pattern fits."""
+    """Names of indicators that a probe's pattern fits, counted; probed_labels also has the titles of cells' sources."""
     names = table(spark, d, "indicators").select("indicator_id", F.explode(F.array_compact(F.array(*[F.when(F.col("name").rlike(p), F.lit(i)) for i, p in PROBES]))).alias("probe"))
     return names.groupBy("probe").agg(F.count("*").alias("indicators"), F.min("indicator_id").alias("first_id"))
 
 
+def q_probed_labels(spark, d):
+    """Titles of cells' sources and names of indicators that a probe's pattern fits, with the number of cells or indicators that have them."""
+    titles = table(spark, d, "research_cells").select(F.lit("source").alias("kind"), F.col("source_title").alias("label"), F.col("cell_id").cast("string").alias("k"))
+    names = table(spark, d, "indicators").select(F.lit("indicator").alias("kind"), F.col("name").alias("label"), F.col("indicator_id").alias("k"))
+    labels = titles.unionByName(names).where("label is not null").groupBy("kind", "label").agg(F.count_distinct("k").alias("uses"))
+    return labels.select("kind", "label", "uses", F.explode(F.array_compact(F.array(*[F.when(F.col("label").rlike(p), F.lit(i)) for i, p in PROBES]))).alias("probe"))
+
+
 def q_document_disposition(spark, d):
     """Documents by whether any cell of their subject was researched in the year they were published."""
     docs = table(spark, d, "documents").where("subject is not null and published_at is not null").select("doc_id", "subject", F.year("published_at").alias("year"))
@@ -140,6 +148,8 @@ ORACLES = {
     "question_list": _OBS + """, q AS (SELECT run_id, subject, 1 AS g, indicator_id FROM s WHERE cls = 'Gap' UNION ALL SELECT run_id, subject, 2, indicator_id FROM s WHERE level IS NULL AND cls <> 'Gap' UNION ALL SELECT run_id, subject, 3, indicator_id FROM s WHERE stale)
       SELECT * FROM (SELECT run_id, subject, g, indicator_id, CAST(row_number() OVER (PARTITION BY run_id, subject ORDER BY g, indicator_id) AS INTEGER) AS no FROM q) WHERE no <= 12""",
     "label_probes": "WITH p(probe, pattern) AS (VALUES " + ", ".join(f"({i}, '{p}')" for i, p in PROBES) + ") SELECT probe, count(*) AS indicators, min(indicator_id) AS first_id FROM indicators, p WHERE regexp_matches(name, pattern) GROUP BY probe",
+    "probed_labels": "WITH p(probe, pattern) AS (VALUES " + ", ".join(f"({i}, '{p}')" for i, p in PROBES) + """), l AS (SELECT 'source' AS kind, source_title AS label, count(DISTINCT cell_id) AS uses FROM research_cells GROUP BY ALL
+      UNION ALL SELECT 'indicator', name, count(DISTINCT indicator_id) FROM indicators GROUP BY ALL) SELECT kind, label, uses, probe FROM l, p WHERE regexp_matches(label, pattern)""",
     "document_disposition": "SELECT doc_id, EXISTS (SELECT 1 FROM research_cells c WHERE c.subject = d.subject AND c.year = year(published_at)) AS used FROM documents d WHERE subject IS NOT NULL AND published_at IS NOT NULL",
     "evidence_pack": f"WITH {_BEARS}, a AS (SELECT indicator_id, use_case, 'bears' AS why FROM bears UNION SELECT indicator_id, unnest(string_split(substring(prerequisite, 4), ',')), 'prerequisite' FROM indicators WHERE prerequisite LIKE 'UC:%') SELECT use_case, indicator_id, string_agg(why, '+' ORDER BY why) AS why FROM a GROUP BY ALL",
 }

@@ -48,3 +48,12 @@ def test_package_contents(spark):
     sha = lambda b: hashlib.sha256(b).hexdigest()
     manifest = spark.createDataFrame([("a", 1, sha(b"1").upper()), ("b", 1, sha(b"22")), ("c", 1, sha(b"4")), ("d", 1, sha(b"5"))], "name string, bytes bigint, sha256 string")
     assert sorted(map(tuple, rules.package_contents(files, manifest).collect())) == [("b", "size"), ("c", "digest"), ("d", "missing"), ("x", "not listed")]
+
+
+def test_probes_read_titles_of_sources(spark, tmp_path):
+    from agrolith.plans.reports import q_probed_labels
+
+    spark.sql("select * from values ('1.1', 'Mobile credit use'), ('1.2', 'Roads') t(indicator_id, name)").write.parquet(str(tmp_path / "indicators.parquet"))
+    spark.sql("select * from values (1L, 'Survey of women online'), (1L, 'Survey of women online'), (2L, 'Survey of women online'), (3L, 'Brief'), (4L, null), (5L, 'Roads') t(cell_id, source_title)").write.parquet(str(tmp_path / "research_cells.parquet"))
+    got = sorted((r["kind"], r["label"], r["probe"], r["uses"]) for r in q_probed_labels(spark, str(tmp_path)).collect())
+    assert got == [("indicator", "Mobile credit use", 1, 1), ("indicator", "Mobile credit use", 3, 1), ("source", "Survey of women online", 2, 2), ("source", "Survey of women online", 5, 2)]
