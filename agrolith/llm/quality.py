@@ -4,7 +4,7 @@ A text is cut into lines; each line, or run of lines that belong together, is re
 that holds most characters is the document's kind. Prose in any layout (wrapped, numbered paragraphs, headings, upper case,
 simple markup, a short list or table in it) stays prose. Signs used: cells and their agreement from line to line; list marks
 and the length and wording of items; the share of common words of the four languages; symbols, encodings and machine formats;
-repetition (of lines, paragraphs and of word sequences at a fixed distance, and the coverage of the dominant n-grams). Lines of
+repetition (of lines, paragraphs and of word sequences at a fixed or any distance, and the coverage of the dominant n-grams). Lines of
 prose that stand REPEATS times, alone or in paragraphs that do, are junk in all their places, as are words of which one n-gram
 covers more than DOMINANT; fewer copies are prose.
 
@@ -38,8 +38,10 @@ COMMON = frozenset(
     más me mi mientras misma mismo muy nadie ni no nos nunca o otra otras otro otros para pero poco pocos por porque pronto que qué quien quién se según ser si sido sin sobre solo son su sus también tan tiene toda todavía todo todos tras tres un una uno unos usa veces y ya""".split()
 )
 MIN_WORDS = 6
-#: The number of equal lines or paragraphs that makes them junk, and the share of a text's words (by characters) above which one n-gram does.
+#: The number of equal lines or paragraphs that makes them junk; the share of a passage's words that repeat what stands before above which it is (between those of four
+#: and of five equal parts); and the share of a text's words (by characters) above which one n-gram makes them junk.
 REPEATS = 5
+REPEATED = 0.77
 DOMINANT = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 _BULLET = re.compile(r"^\s*(?:[-*+•–—·▪◦‣●○□☐☑]|o(?=\s)|\[[ xX]?\]|\(?(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,5})[.)])\s+")
@@ -144,24 +146,28 @@ def _junk_line(s: str, words: list[str], common: float) -> bool:
 
 
 def periodic_share(words: list[str], longest: int = 64) -> float:
-    """The greatest share of words that equal the word a fixed distance before, over the distances up to ``longest`` at which words most often return."""
+    """The greatest share of words that equal the word a fixed distance before, over all distances up to ``longest``; repeated_share knows no distance."""
     n = len(words)
     if n < 10:
         return 0.0
-    if len(set(words)) > 0.4 * n + min(longest, n // 5):
+    top = min(longest, n // 5)
+    if len(set(words)) > 0.4 * n + top:
         return 0.6  # more different words than a share above this allows
-    last: dict[str, int] = {}
-    back: list[int] = []
-    for i, w in enumerate(words):
-        if w in last:
-            back.append(i - last[w])
-        last[w] = i
-    often = [p for p, _ in Counter(p for p in back if p <= min(longest, n // 5)).most_common(4)]
-    if not often:
-        return 0.0
-    ids = {w: i for i, w in enumerate(last)}
-    a = np.array([ids[w] for w in words], np.int32)
-    return max(np.count_nonzero(a[p:] == a[:-p]) / (n - p) for p in often)
+    ids: dict[str, int] = {}
+    a = np.array([ids.setdefault(w, len(ids)) for w in words], np.int32)
+    return max(np.count_nonzero(a[p:] == a[:-p]) / (n - p) for p in range(1, top + 1))
+
+
+def repeated_share(words: list[str], n: int = 8) -> float:
+    """Share of words in n-grams that occur before, at any distance; of k equal parts it is (k - 1) / k."""
+    seen: set[tuple[str, ...]] = set()
+    covered = end = 0
+    for i, gram in enumerate(zip(*[words[j:] for j in range(n)], strict=False)):
+        if gram in seen:
+            covered += i + n - max(i, end)
+            end = i + n
+        seen.add(gram)
+    return covered / len(words) if words else 0.0
 
 
 def _item_like(content: str, words: list[str]) -> bool:
@@ -287,6 +293,9 @@ def _natural(words: list[str], ended: bool) -> bool:
         return ended and len(words) <= 30 and len(set(words)) > 0.7 * len(words) and sum(bool(re.search("[aeiouyàáâäãåéèêëíìîïóòôöõúùûüæœ]", w)) for w in long) > 0.9 * len(long)
     if len(words) >= 24 and periodic_share(words) > 0.6 or dominated(words):
         return False
+    # words that repeat stand before, each of them
+    if len(words) >= 24 and len(set(words)) < (1 - REPEATED) * len(words) and repeated_share(words) > REPEATED:
+        return False
     return not (len(words) >= 40 and len(set(words)) <= 8)
 
 

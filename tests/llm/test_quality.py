@@ -62,6 +62,19 @@ def test_dominant_ngrams_are_junk():
         assert q.dominated(words) == (max(q.top_ngram_share(words, 2), q.top_ngram_share(words, 4)) > q.DOMINANT)
 
 
+def test_repetition_at_any_distance_is_junk():
+    far = PROSE + LONG
+    assert len(q.words_of(far)) > 64
+    for text in (far * 5, far * 40, LONG + far * 9, " ".join([far, LONG, PROSE, LONG] * 6)):
+        assert q.classify(text) == "junk", text
+    assert q.classify(far * 4) is None  # as four copies of a shorter passage
+    assert q.repeated_share(list("abcdefghij") * 5) == 0.8 and q.repeated_share([]) == 0 == q.repeated_share(list("abcdefghijk"))
+    pick = random.Random(5)
+    for _ in range(200):
+        words = [pick.choice("abcdef") for _ in range(pick.randint(30, 90))]
+        assert q.periodic_share(words) == max(sum(x == y for x, y in zip(words[p:], words, strict=False)) / (len(words) - p) for p in range(1, min(64, len(words) // 5) + 1))
+
+
 def test_documents(spark, data):
     from agrolith.llm.queries import p10_found, p10_quality
 
