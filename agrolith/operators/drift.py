@@ -8,7 +8,7 @@ Files of a feed are in the order of their number, whatever the order of arrival;
 JSON objects are left out, and a file without any valid record is no file. A field that is null throughout is present without
 a type. If the records of one file disagree on a field's type, the type that most of them have counts, then the first by name.
 Records sent twice count once; records without feed or file number belong to no file; those without
-an id count for the fields of their file, but not for renamings. Empty tables give empty results.
+an id count for the fields of their file, but not for renamings, and have a digest of their contents as key in the table. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -23,16 +23,19 @@ from agrolith.session import broadcast_if_small, checkpointed
 CHANGES = "feed string, file_no int, change_kind string, field string, new_field string"
 
 
-def cells(records: DataFrame, payload: str = "payload", id_field: str = "id") -> DataFrame:
-    """feed, file_no, rid, field, type, value (canonical JSON), text: the exploded keys of valid records, parsed once, in the JVM."""
+def cells(records: DataFrame, payload: str = "payload", id_field: str = "id", outer: bool = False) -> DataFrame:
+    """feed, file_no, rid, field, type, value (canonical JSON), text, digest (of records without id): the exploded keys of valid records, parsed once, in the JVM.
+
+    ``outer``: a record without any key has a row too, its field null.
+    """
     parsed = records.select("feed", "file_no", F.try_parse_json(payload).alias("v")).where("v is not null")
     objects = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
     rid = F.try_variant_get("v", f"$.{id_field}", "string").alias("rid")
-    exploded = objects.select("feed", "file_no", rid, "v").lateralJoin(
-        objects.sparkSession.tvf.variant_explode(F.col("v").outer())
-    )
+    tvf = objects.sparkSession.tvf
+    exploded = objects.select("feed", "file_no", rid, "v").lateralJoin((tvf.variant_explode_outer if outer else tvf.variant_explode)(F.col("v").outer()))
+    digest = F.when(F.col("rid").isNull(), F.sha2(F.to_json("v"), 256)).alias("digest")
     kind = F.schema_of_variant("value")
-    return exploded.select("feed", "file_no", "rid", F.col("key").alias("field"), _json_type(kind).alias("type"), F.when(kind != "VOID", F.to_json("value")).alias("value"), F.try_variant_get("value", "$", "string").alias("text"))
+    return exploded.select("feed", "file_no", "rid", F.col("key").alias("field"), _json_type(kind).alias("type"), F.when(kind != "VOID", F.to_json("value")).alias("value"), F.try_variant_get("value", "$", "string").alias("text"), digest)
 
 
 def _json_type(kind: Column) -> Column:
@@ -165,11 +168,12 @@ def _cast(text: Column, kind: Column, value: Column, to: str) -> Column:
 
 def consistent_table(records: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
     """feed, file_no, rid, the target's columns, extra: every valid record once, whatever its fields were called and typed."""
-    exploded = cells(records)
+    every = cells(records, outer=True).where("feed is not null and file_no is not null")
+    exploded = every.where("field is not null")
     cat = catalogue(exploded)
     span = checkpointed(spans(cat))
     alias = broadcast_if_small(checkpointed(aliases(lineages(span, renames(exploded, span)), target)))
-    at = exploded.where("rid is not null").alias("c").join(alias.alias("a"), (F.col("c.feed") == F.col("a.feed")) & (F.col("c.field") == F.col("a.field")) & F.col("c.file_no").between(F.col("a.first_file"), F.col("a.last_file")))
+    at = every.withColumn("rid", F.coalesce("rid", F.concat(F.lit("sha256:"), F.col("digest")))).alias("c").join(alias.alias("a"), (F.col("c.feed") == F.col("a.feed")) & (F.col("c.field") == F.col("a.field")) & F.col("c.file_no").between(F.col("a.first_file"), F.col("a.last_file")), "left")
     named = at.select("c.feed", "c.file_no", "c.rid", "a.canon", "c.type", "c.value", "c.text")
     pick = lambda c, to: F.first(F.when(F.col("canon") == c, _cast(F.col("text"), F.col("type"), F.col("value"), to)), ignorenulls=True).alias(c)
     rest = F.array_sort(F.collect_set(F.when(~F.col("canon").isin(*target, "id") & F.col("text").isNotNull(), F.struct(F.col("canon"), F.col("text")))))

@@ -75,3 +75,10 @@ def test_consistent_table(spark):
     assert [got[i]["lead"] for i in (1, 2, 3)] == ["L", "L", "M"]
     assert got[1]["uc"] == ["p", "q"] and got[2]["uc"] == ["p"] and got[3]["uc"] is None
     assert [got[i]["year"] for i in (1, 2, 3)] == [None, 2024, 2025] and got[1]["extra"] == {"odd": "1"} and len(got) == 3
+
+
+def test_consistent_table_keeps_records_without_id(spark):
+    rows = [("f", 1, '{"id": "a", "lead": "L"}'), ("f", 1, '{"lead": "M", "odd": 1}'), ("f", 1, '{"odd": 1,  "lead": "M"}'), ("f", 1, '{"id": null, "lead": "N"}'), ("g", 1, '{"lead": "P"}'), ("g", 2, "{}"), ("g", 2, "[1]"), (None, 1, '{"lead": "Q"}')]
+    got = drift.consistent_table(spark.createDataFrame(rows, "feed string, file_no int, payload string")).collect()
+    assert sorted((r["feed"], r["file_no"], r["lead"] or "", r["extra"].get("odd") or "") for r in got) == [("f", 1, "L", ""), ("f", 1, "M", "1"), ("f", 1, "N", ""), ("g", 1, "P", ""), ("g", 2, "", "")]
+    assert len({r["rid"] for r in got}) == 5 and all(r["rid"] == "a" or r["rid"].startswith("sha256:") for r in got)
