@@ -2,9 +2,10 @@
 join on an alias table, coalesce unit field, text, remark and default, then apply the factor. SQL expressions only.
 
 Defined results: null, blank and wordy values (sentences, "n/a", "-") give no row; a value with an unknown unit word gives no
-row; a value whose unit measures another quantity than the default unit gives no row, nor does one without default unit; repeated rows collapse; ties don't
-occur, as every step is a function of the row. Very long texts are no quantities (beyond ``MAX_CHARS`` no number with unit
-and remark is that long) and end at a length test.
+row; a value whose unit measures another quantity than the default unit gives no row, nor does one without default unit;
+repeated rows give repeated results; ties don't occur, as every step is a function of the row; of several remarks in one text
+the first counts. Texts of any length are read, in time in proportion to their length; a number of more than 28 digits, or with
+more than eight hedging words in a row, is no quantity. Converted values have nine decimals.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_CHARS = 200
-#: Up to so many units the alias maps are broadcast; a longer list is joined as Catalyst sees fit.
+#: Up to so many units their names are broadcast; a longer list is joined as Catalyst sees fit.
 UNITS_BOUND = 2_000
 
 #: Other names of the units, by the canonical name. Keys are compared in lower case, without outer blanks and
@@ -71,7 +71,8 @@ _BLANK = "[\\u00a0\\u2000-\\u200a\\u202f\\u205f\\u3000\\t]"
 _DIGITS = "".join(chr(zero + i) for zero in (0x660, 0x6F0, 0x966, 0x9E6, 0xFF10) for i in range(10))
 _FROM = "％’‘`´ʼ–—−＄٫٬" + _DIGITS
 _TO = "%" + "'" * 5 + "---$.," + "0123456789" * (len(_DIGITS) // 10)
-_NUMBER = r"\d+(?:[ ']\d{3}(?!\d)|[.,]\d+)*"
+# no number that fits 38 digits has more groups; the bounds keep the matcher's depth small in endless texts
+_NUMBER = r"\d{1,38}(?:[ ']\d{3}(?!\d)|[.,]\d{1,38}){0,14}"
 #: Words that hedge a figure without changing it.
 _HEDGE = r"(?:approx(?:imately)?\.?|about|around|roughly|nearly|almost|some|circa|ca\.?|c\.|est(?:imated)?\.?|~|≈|±|>=|<=|[<>≥≤=:]|at least|up to|over|under|more than|less than|total(?: of)?)"
 #: Scale words before or in place of a unit.
@@ -82,7 +83,11 @@ _SCALES = {
 _SCALE = r"^(" + "|".join(sorted(_SCALES, key=len, reverse=True)) + r")(?![a-z])(?:\s*of(?![a-z]))?\s*(.*)$"
 #: A remark in brackets at the end, brackets that belong to a unit's name aside.
 _REMARK = r"\s*[(\[](?!0-1\)|0-10\)|0-100\)|s\)|local\)|bits\))[^()\[\]]*[)\]]$"
-_NOTE = r"(?i)^\s*(?:unit as published\s*:|nb\s*:|(?:the )?source reports this in|figures?(?: is| are)? given in|reported in|unit\s*:|in)\s*(.+?)(?:,\s*not converted)?\s*\.?\s*$"
+#: A remark on the unit: a sentence anywhere in the text, up to its stop. A stop inside a unit's name ("U.S. dollars") is followed by a small letter or stands between initials.
+_NOTE = (
+    r"(?:^|[.!?…][\"'”’)\]]*\s+|\n)\s*(?i:unit as published\s*:|nb\s*:|(?:the )?source reports this in|figures?(?: is| are)? given in|reported in|unit\s*:)\s*"
+    r"([^\n;]+?)(?i:,\s*not converted)?\s*\.*(?=\s*$|\s*[\n;]|(?<=\.)(?<![A-Z]\.[A-Z]\.)\s+[\"'“‘(]?[\p{Lu}\d])"
+)
 
 
 def plain(text: Column) -> Column:
@@ -109,23 +114,26 @@ def number_value(text: Column) -> Column:
     return F.translate(t, ",", ".").try_cast("decimal(38,10)")
 
 
+def _offset(factors: DataFrame) -> Column:
+    """What is added after the factor (0 unless the list of units has such a column): value in base unit = value * factor + offset."""
+    return F.coalesce(F.col("offset").cast("double"), F.lit(0.0)) if "offset" in factors.columns else F.lit(0.0)
+
+
 def alias_table(spark: SparkSession, factors: DataFrame) -> DataFrame:
-    """unit, quantity, factor, key: a row for every name of every unit; as large as the unit list times the names of a unit."""
+    """quantity, key, factor, offset: a row for every name that a unit of the quantity has; a unit's own name comes before another one's alias."""
     pairs = [(u, a) for u, names in ALIASES.items() for a in dict.fromkeys((u.lower(), *names))]
     names = spark.createDataFrame(pairs, "unit string, key string")
     both = names.unionByName(factors.select("unit", F.lower("unit").alias("key"))).distinct()
-    return both.join(factors, "unit").select("unit", "quantity", "factor", "key")
+    units = factors.select("unit", "quantity", "factor", _offset(factors).alias("offset"))
+    best = both.join(units, "unit").groupBy("quantity", "key").agg(F.max(F.struct((F.lower("unit") == F.col("key")).alias("own"), "factor", "offset")).alias("b"))
+    return best.select("quantity", "key", "b.factor", "b.offset")
 
 
-def target_table(spark: SparkSession, factors: DataFrame) -> DataFrame:
-    """_target, _target_factor, names (map of key to factor) of every unit: its quantity's names. Broadcast if the list of units is within UNITS_BOUND."""
-    lookup = alias_table(spark, factors).groupBy("quantity", "key").agg(F.max_by("factor", F.col("unit") == F.col("key")).alias("factor"))
-    maps = lookup.groupBy("quantity").agg(F.map_from_entries(F.collect_list(F.struct("key", "factor"))).alias("names"))
-    targets = factors.select(F.col("unit").alias("_target"), "quantity", F.col("factor").alias("_target_factor")).join(maps, "quantity").drop("quantity")
-    return F.broadcast(targets) if len(factors.select("unit").limit(UNITS_BOUND + 1).collect()) <= UNITS_BOUND else targets
+def _small(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
-_FIGURE = r"^((?:" + _HEDGE + r"\s*)*)([^\d(]*?)\s*((?:" + _HEDGE + r"\s*)*)([+-]?)(" + _NUMBER + r")(?!\d)\s*(.*)$"
+_FIGURE = r"^((?:" + _HEDGE + r"\s*){0,8})([^\d(]*?)\s*((?:" + _HEDGE + r"\s*){0,8})([+-]?)(" + _NUMBER + r")(?!\d)\s*(.*)$"
 
 
 def parse_quantity(text: Column) -> Column:
@@ -139,50 +147,56 @@ def parse_quantity(text: Column) -> Column:
 
 
 def normalise_units(rows: DataFrame, factors: DataFrame, key: str, value: str, unit: str, note: str, default_unit: str) -> DataFrame:
-    """key, number, scale, unit, source, base_value of every row whose value is one quantity.
+    """key, number, source, base_value of every row whose value is one quantity.
 
     The unit is that of the unit field, else that in the value, else the one a remark in the notes states, else the default
     unit; base_value is in the default unit. A scale word in the value multiplies, unless the unit field is the source and
-    names the same scaled unit.
+    names the same scaled unit. The names are joined by equality, slot by slot: as the whole name, and as what follows a scale word.
     """
-    targets = target_table(rows.sparkSession, factors)
-    base = rows.where(F.length(value) <= MAX_CHARS).select(
+    spark = rows.sparkSession
+    small = len(factors.select("unit").limit(UNITS_BOUND + 1).collect()) <= UNITS_BOUND
+    names = alias_table(spark, factors)
+    targets = _small(factors.select(F.col("unit").alias("_target"), "quantity", F.col("factor").alias("_target_factor"), _offset(factors).alias("_target_offset")), small)
+    base = rows.select(
         F.col(key).alias("_key"), F.col(default_unit).alias("_target"), plain(F.col(value)).alias("v"),
         plain(F.col(unit)).alias("uf"), plain(F.regexp_extract(F.col(note), _NOTE, 1)).alias("nt"),
     ).where(F.col("v").rlike(_FIGURE)).join(targets, "_target")
-    base = base.select("_key", "_target_factor", "names", parse_quantity(F.col("v")).alias("q"), "uf", "nt")
+    given = ("_key", "quantity", "_target_factor", "_target_offset")
+    base = base.select(*given, parse_quantity(F.col("v")).alias("q"), "uf", "nt")
     bare = F.regexp_replace(F.regexp_replace(F.trim(F.col("q.rest")), _REMARK, ""), _REMARK, "")
     slots = base.select(
-        "_key", "_target_factor", "names", "q.number",
+        *given, "q.number",
         unit_key(F.regexp_replace(bare, r"\s*[,;]$", "")).alias("after"), unit_key(F.col("q.before")).alias("ahead"),
         F.coalesce(unit_key(F.col("uf")), F.lit("")).alias("field"), F.coalesce(unit_key(F.col("nt")), F.lit("")).alias("remark"),
     )
     four = ("after", "ahead", "field", "remark")
-    cut = slots.select("*", *[F.regexp_extract(s, _SCALE, 1).alias(f"{s}_w") for s in four], *[unit_key(F.regexp_extract(s, _SCALE, 2)).alias(f"{s}_u") for s in four])
     words = F.create_map(*[F.lit(x) for pair in _SCALES.items() for x in pair])
-    at = lambda k: F.try_element_at("names", F.col(k))
-    found = cut.select(
-        "_key", "number", "_target_factor", *four, *[f"{s}_u" for s in four], *[at(s).alias(f"{s}_whole") for s in four],
-        *[at(f"{s}_u").alias(f"{s}_part") for s in four], *[F.try_element_at(words, F.col(f"{s}_w")).alias(f"{s}_scale") for s in four],
-    )
+    cut = slots.select("*", *[F.try_element_at(words, F.regexp_extract(s, _SCALE, 1)).alias(f"{s}_scale") for s in four], *[unit_key(F.regexp_extract(s, _SCALE, 2)).alias(f"{s}_u") for s in four])
+    found = cut
+    for s in four:
+        for at, by in ((f"{s}_whole", s), (f"{s}_part", f"{s}_u")):
+            one = _small(names.select(F.col("quantity").alias("_q"), F.col("key").alias("_k"), F.struct("factor", "offset").alias(at)), small)
+            found = found.join(one, (F.col("quantity") == F.col("_q")) & (F.col(by) == F.col("_k")), "left").drop("_q", "_k")
     # scale null: the text names no unit that is known here
-    factor = lambda s: F.coalesce(F.col(f"{s}_whole"), F.col(f"{s}_part"))
+    unit_of = lambda s: F.coalesce(F.col(f"{s}_whole"), F.col(f"{s}_part"))
     scale = lambda s: F.when(F.col(f"{s}_whole").isNotNull() | (F.col(s) == ""), F.lit(1.0)).when(F.col(f"{s}_part").isNotNull() | (F.col(f"{s}_u") == ""), F.col(f"{s}_scale"))
-    known = found.select("_key", "number", "_target_factor", *[factor(s).alias(f"{s}_f") for s in four], *[scale(s).alias(f"{s}_s") for s in four])
-    own = known.select(
-        "_key", "number", "_target_factor", "field_f", "field_s", "remark_f", "remark_s", "after_s", F.coalesce("after_f", "ahead_f").alias("text_f"),
-        (F.col("after_s") * F.col("ahead_s")).alias("text_s"),
-    )
-    by_field, in_text, by_note = F.col("field_f").isNotNull(), F.col("text_f").isNotNull(), F.col("remark_f").isNotNull()
+    own = found.select("number", *given, *[unit_of(s).alias(f"{s}_f") for s in four], *[scale(s).alias(f"{s}_s") for s in four])
+    text_f, text_s = F.coalesce("after_f", "ahead_f"), F.col("after_s") * F.col("ahead_s")
+    by_field, in_text, by_note = F.col("field_f").isNotNull(), text_f.isNotNull(), F.col("remark_f").isNotNull()
     same = in_text & (F.col("after_s") == F.col("field_s"))
+    default = F.struct(F.col("_target_factor").alias("factor"), F.col("_target_offset").alias("offset"))
     picked = own.select(
-        "_key", "number", "_target_factor",
-        F.when(by_field & same, F.col("field_s")).when(by_field, F.col("text_s") * F.col("field_s")).when(~in_text & by_note, F.col("text_s") * F.col("remark_s")).otherwise(F.col("text_s")).alias("scale"),
-        F.when(by_field, F.col("field_f")).when(in_text, F.col("text_f")).when(by_note, F.col("remark_f")).otherwise(F.col("_target_factor")).alias("factor"),
+        "_key", "number", "_target_factor", "_target_offset",
+        F.when(by_field & same, F.col("field_s")).when(by_field, text_s * F.col("field_s")).when(~in_text & by_note, text_s * F.col("remark_s")).otherwise(text_s).alias("scale"),
+        F.when(by_field, F.col("field_f")).when(in_text, text_f).when(by_note, F.col("remark_f")).otherwise(default).alias("u"),
         F.when(by_field, "unit field").when(in_text, "value").when(by_note, "notes").otherwise("default").alias("source"),
     )
-    # decimal(20,6) times decimal(17,6) is decimal(38,12): exact, and it can't overflow
-    factor_out = (F.col("scale") * F.col("factor") / F.col("_target_factor")).try_cast("decimal(17,6)")
-    base_value = F.col("number").try_cast("decimal(20,6)") * factor_out
+    # a factor as it is written is a decimal, and so is its product with a scale; only a quotient is rounded, to 15 digits
+    shown = lambda c: c.cast("string").try_cast("decimal(24,12)")
+    product = shown(F.col("u.factor")) * F.col("scale").cast("decimal(13,0)")
+    quotient = F.format_string("%.14e", F.col("u.factor") * F.col("scale") / F.col("_target_factor")).try_cast("decimal(38,12)")
+    ratio = F.when(F.col("_target_factor") == 1, product.try_cast("decimal(38,12)")).otherwise(quotient).try_cast("decimal(26,12)")
+    shift = ((F.col("u.offset") - F.col("_target_offset")) / F.col("_target_factor")).cast("decimal(24,9)")
+    base_value = (F.col("number").try_cast("decimal(24,10)") * ratio + shift).try_cast("decimal(38,9)")
     # a generator instead of a filter: Catalyst would push a filter, and with it copies of all expressions, below the join
     return picked.select(F.inline(F.when(F.col("scale").isNotNull() & base_value.isNotNull(), F.array(F.struct(F.col("_key").alias(key), "number", "source", base_value.alias("base_value"))))))

@@ -92,28 +92,51 @@ def _orphan_sql(table_name: str, key: str, field: str, at: str, targets: str, ta
       WHERE t.k IS NULL OR retired_on <= at_time OR added_on > at_time"""
 
 
+#: Problem 3 in SQL: each unit by a pattern of its own names, none of them taken from the operator.
+_UNIT_PATTERNS = {
+    "USD": r"us ?\$|usd|\$|u\.?s\.? dollars?|united states dollars?|dollars?", "XVD": r"xvd( \(local\))?", "QMR": r"qmr( \(local\))?", "XKL": r"xkl( \(local\))?", "QTN": r"qtn( \(local\))?",
+    "kg/ha": r"(kgs?|kilos?|kilograms?) ?(/ ?|per )(ha|hectare)|kg ha-1", "t/ha": r"(t|mt|tonnes?|(metric )?tons?) ?(/ ?|per )(ha|hectare)|t ha-1", "q/ha": r"(q|qx|quintals?) ?(/ ?|per )(ha|hectare)|q ha-1", "lb/acre": r"(lbs?|pounds?) ?(/ ?|per )(ac|acre)",
+    "%": r"%|per ?cent|pct|percentage|p\.?c|per hundred|(per|in) 100", "fraction": r"fraction|proportion|ratio( \(0-1\))?|share( of 1)?|\(0-1\)", "permille": r"‰|per ?mille|per mil|per thousand|per 1,?000|in 1000", "bp": r"bps?|basis points?",
+    "ha": r"has?|hect|hectares?", "feddan": r"fed|feddans?", "acre": r"ac|acres?", "km2": r"km(2|²|\^2)|sq\.? ?km|square kilomet(er|re)s?",
+    "t": r"t|mt|tonnes?|tons?|metric ton(ne)?s?", "kg": r"kgs?|kilos?|kilograms?", "q": r"q|qx|quintals?", "kt": r"kt|kiloton(ne)?s?",
+    "mm": r"mm|millimet(er|re)s?", "cm": r"cm|centimet(er|re)s?", "inch": r"in|inch|inches", "m": r"m|met(er|re)s?", "km": r"kms?|kilomet(er|re)s?", "mile": r"mi|miles?", "metre": r"m|met(er|re)s?",
+    "Mbit/s": r"mbit/s|mbps|megabits?( per second|/s)", "kbit/s": r"kbit/s|kbps|kilobits?( per second|/s)", "Gbit/s": r"gbit/s|gbps|gigabits?( per second|/s)", "MB/s": r"mb/s|mbytes?/s|megabytes?( per second|/s)",
+    "kWh": r"kwh|kilowatt[ -]hours?", "MWh": r"mwh|megawatt[ -]hours?", "GWh": r"gwh|gigawatt[ -]hours?", "MJ": r"mj|megajoules?",
+    "index100": r"index100|/ ?100|(out )?of 100( points)?|points?( \(0-100\))?|(on a )?0-100 scale|index 0 to 100", "index1": r"index1|/ ?1|(out )?of 1|(on a )?0-1 scale|index( 0 to 1| \(0-1\))",
+    "index10": r"index10|/ ?10|(out )?of 10( points)?|points \(0-10\)|(on a )?0-10 scale|index 0 to 10", "persons": r"persons?|people|individuals?|farmers?|growers?",
+    "days": r"d|days?|day\(s\)|calendar days?", "weeks": r"wks?|weeks?|week\(s\)", "hours": r"h|hrs?|hours?|hour\(s\)",
+}
+
+
 def _quantity_sql() -> str:
-    """Problem 3 with the same list of unit names, scales taken as names too, and one regular expression without look-around."""
-    names = ", ".join("({}, {})".format(*("'" + x.replace("'", "''") + "'" for x in (u, a))) for u, al in units.ALIASES.items() for a in dict.fromkeys((u.lower(), *al)))
-    scales = ", ".join("({}, {:.0f})".format("'" + w.replace("'", "''") + "'", f) for w, f in units._SCALES.items())
-    plain = lambda c: f"lower(trim(regexp_replace(translate({c}, '{units._FROM}', '{units._TO.replace(chr(39), chr(39) * 2)}'), '[\\s\\x{{A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}]+', ' ', 'g')))"
-    hedge = units._HEDGE.replace("'", "''")
-    shape = f"^((?:{hedge}\\s*)*)([^0-9(]*?)\\s*((?:{hedge}\\s*)*)([0-9]+(?:[ ''][0-9]{{3}}|[.,][0-9]+)*)\\s*([^0-9].*)?$"
-    return f"""WITH al(unit, k) AS (SELECT DISTINCT * FROM (VALUES {names})), nm AS (SELECT al.k, u.quantity, u.factor FROM al JOIN unit_factors u USING (unit)), sc(w, f) AS (VALUES {scales}),
-      ks AS (SELECT k, quantity, factor, 1.0 AS scale, 0 AS p FROM nm UNION ALL SELECT w || sep || k, quantity, factor, f, 1 FROM nm, sc, (VALUES (' '), (' of '), ('')) s(sep) UNION ALL SELECT w, q.quantity, NULL, f, 2 FROM sc, (SELECT DISTINCT quantity FROM unit_factors) q),
-      k1 AS (SELECT k, quantity, first(factor ORDER BY p) AS factor, first(scale ORDER BY p) AS scale FROM ks GROUP BY ALL),
-      c AS (SELECT DISTINCT cell_id, u.quantity, u.factor AS tf, {plain('value')} AS v, coalesce({plain('value_unit')}, '') AS uf,
-        {plain("regexp_extract(notes, '(?i)^(?:unit as published: |nb: |the source reports this in |figure given in )(.+?)(?:, not converted)?[.]$', 1)")} AS nt FROM research_cells JOIN indicators i USING (indicator_id) JOIN unit_factors u ON u.unit = i.unit WHERE length(value) <= 200),
-      m AS (SELECT *, regexp_extract(v, '{shape}', 2) AS ahead, regexp_extract(v, '{shape}', 4) AS num, trim(regexp_replace(regexp_extract(v, '{shape}', 5), '\\s*[(]((?:19|20)[0-9][0-9][^)]*|provisional|latest|estimate|revised)[)]$', '')) AS after FROM c WHERE regexp_matches(v, '{shape}')),
-      n AS (SELECT *, regexp_replace(num, '[ '']', '', 'g') AS a FROM m),
-      o AS (SELECT *, CASE WHEN regexp_matches(a, '^[0-9]+([.][0-9]{{3}})+,[0-9]+$') AND NOT regexp_matches(a, ',[0-9]{{3}}$') THEN replace(replace(a, '.', ''), ',', '.') WHEN regexp_matches(a, '[.].*[.]') THEN replace(a, '.', '')
-        WHEN regexp_matches(a, ',') AND regexp_matches(a, '^[0-9]+(,[0-9]{{3}})+([.][0-9]+)?$') THEN replace(a, ',', '') WHEN regexp_matches(a, ',.*,') THEN regexp_replace(replace(a, ',', ''), '^$', '') ELSE replace(a, ',', '.') END AS plain_number FROM n),
-      key AS (SELECT o.*, ka.factor AS af, ka.scale AS asc_, kb.factor AS bf, kb.scale AS bs, kf.factor AS ff, kf.scale AS fs, kn.factor AS nf, kn.scale AS ns FROM o
-        LEFT JOIN k1 ka ON ka.quantity = o.quantity AND ka.k = rtrim(o.after, '.') LEFT JOIN k1 kb ON kb.quantity = o.quantity AND kb.k = trim(o.ahead) LEFT JOIN k1 kf ON kf.quantity = o.quantity AND kf.k = rtrim(o.uf, '.') LEFT JOIN k1 kn ON kn.quantity = o.quantity AND kn.k = rtrim(o.nt, '.')
-        WHERE (o.after = '' OR ka.k IS NOT NULL) AND (trim(o.ahead) = '' OR kb.k IS NOT NULL)),
-      r AS (SELECT cell_id, tf, plain_number::decimal(28,8) AS x, coalesce(asc_, 1) * coalesce(bs, 1) AS ts, coalesce(af, bf) AS txf, ff, fs, nf, ns, coalesce(asc_, 1) AS after_scale FROM key),
-      z AS (SELECT cell_id, x, CASE WHEN ff IS NOT NULL THEN ff * CASE WHEN txf IS NOT NULL AND after_scale = fs THEN fs ELSE ts * fs END WHEN txf IS NOT NULL THEN txf * ts WHEN nf IS NOT NULL THEN nf * ns * ts ELSE tf * ts END / tf AS m FROM r)
-      SELECT cell_id, CAST(floor(x * (m::decimal(17,6)) * 1000 + 0.5) AS BIGINT) AS value_milli FROM z"""
+    """Problem 3 in SQL: every distinct spelling is held against the patterns; a remark is looked for as an opening phrase with a spelling and a stop behind it."""
+    lit = lambda x: "'" + x.replace("'", "''") + "'"
+    patterns = ", ".join(f"({lit(u)}, {lit(p)})" for u, p in _UNIT_PATTERNS.items())
+    big = "thousands?|''000|000s|k|millions?|mio|mln|mn|m|billions?|bln|bn|trillions?|tn"
+    any_unit = f"(?:(?:{big})(?: of)? ?)?(?:{'|'.join(_UNIT_PATTERNS.values())})|(?:{big})".replace("(", "(?:").replace("(?:?:", "(?:").replace("\\(?:", "\\(")
+    digits = "".join(chr(z + i) for z in (0x660, 0x6F0, 0x966, 0x9E6, 0xFF10) for i in range(10))
+    shown = lambda c: f"lower(trim(regexp_replace(translate({c}, '％’‘`´ʼ–—−＄٫٬{digits}', '%' || repeat('''', 5) || '---$.,' || repeat('0123456789', 5)), '[\\s\\x{{A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+', ' ', 'g')))"
+    loose = "approximately|approx[.]?|about|around|roughly|nearly|almost|some|circa|ca[.]?|c[.]|estimated|est[.]?|~|≈|±|>=|<=|<|>|≥|≤|=|:|at least|up to|over|under|more than|less than|total of|total"
+    parts = f"^(?:(?:{loose}) ?)*([^0-9(]*?) ?(?:(?:{loose}) ?)*([+-]?[0-9]+(?:[ ''][0-9]{{3}}|[.,][0-9]+)*) ?([^0-9].*)?$"
+    brackets = " ?[(](?:(?:19|20)[0-9][0-9][^)]*|provisional|latest|estimate|revised|[a-z][a-z ]{{3,}})[)]$"
+    brackets = brackets.replace("{{", "{").replace("}}", "}")
+    clean = lambda c: f"trim(regexp_replace(regexp_replace(trim({c}), '([a-z²2])[.]$', '\\1'), ' ?[,;]$', ''))"
+    return f"""WITH un(unit, pattern) AS (VALUES {patterns}), nm AS (SELECT quantity, factor, pattern FROM un JOIN unit_factors USING (unit)),
+      c AS (SELECT DISTINCT cell_id, u.quantity, u.factor AS tf, {shown('value')} AS v, {clean(f"coalesce({shown('value_unit')}, '')")} AS field, coalesce({shown('notes')}, '') AS notes FROM research_cells JOIN indicators i USING (indicator_id) JOIN unit_factors u ON u.unit = i.unit WHERE value IS NOT NULL),
+      p AS (SELECT *, regexp_extract(v, '{parts}', 1) AS ahead0, regexp_extract(v, '{parts}', 2) AS num, regexp_replace(regexp_replace(coalesce(regexp_extract(v, '{parts}', 3), ''), '{brackets}', ''), '{brackets}', '') AS after0,
+        regexp_extract(notes, '(?:^|[.!?…] )(?:unit as published: |nb: |the source reports this in |figure given in )({any_unit})[.]?(?:, not converted)?[.](?: |$)', 1) AS remark FROM c WHERE regexp_matches(v, '{parts}')),
+      s AS (SELECT cell_id, quantity, tf, num, {clean('ahead0')} AS ahead, {clean('after0')} AS after, field, {clean('remark')} AS remark FROM p),
+      d AS (SELECT DISTINCT quantity, x FROM (SELECT quantity, unnest([ahead, after, field, remark]) AS x FROM s) WHERE x <> ''),
+      e AS (SELECT quantity, x, regexp_extract(x, '^({big})(?:$|[^a-z])', 1) AS w, trim(regexp_replace(regexp_replace(x, '^({big})', ''), '^ of ', '')) AS y FROM d),
+      f AS (SELECT *, CASE WHEN w IN ('thousand', 'thousands', '''000', '000s', 'k') THEN 1e3 WHEN w IN ('million', 'millions', 'mio', 'mln', 'mn', 'm') THEN 1e6 WHEN w IN ('billion', 'billions', 'bln', 'bn') THEN 1e9 WHEN w <> '' THEN 1e12 END AS big FROM e),
+      g AS (SELECT f.quantity, f.x, max(a.factor) AS whole, max(b.factor) AS part, any_value(big) AS big, any_value(y) AS y FROM f LEFT JOIN nm a ON a.quantity = f.quantity AND regexp_full_match(f.x, a.pattern) LEFT JOIN nm b ON b.quantity = f.quantity AND f.w <> '' AND regexp_full_match(f.y, b.pattern) GROUP BY f.quantity, f.x),
+      k AS (SELECT quantity, x, coalesce(whole, part) AS factor, CASE WHEN whole IS NOT NULL THEN 1 WHEN part IS NOT NULL OR y = '' THEN big END AS scale FROM g),
+      q AS (SELECT cell_id, tf, replace(replace(num, ' ', ''), '''', '') AS a, ahead, after, ka.scale AS as_, ka.factor AS af, kb.scale AS bs, kb.factor AS bf, kf.factor AS ff, kf.scale AS fs, kr.factor AS rf, kr.scale AS rs FROM s
+        LEFT JOIN k ka ON ka.quantity = s.quantity AND ka.x = after LEFT JOIN k kb ON kb.quantity = s.quantity AND kb.x = ahead LEFT JOIN k kf ON kf.quantity = s.quantity AND kf.x = field LEFT JOIN k kr ON kr.quantity = s.quantity AND kr.x = remark
+        WHERE (after = '' OR ka.scale IS NOT NULL) AND (ahead = '' OR kb.scale IS NOT NULL)),
+      t AS (SELECT *, coalesce(as_, 1) AS s1, coalesce(as_, 1) * coalesce(bs, 1) AS s2, coalesce(af, bf) AS xf, CASE WHEN regexp_matches(a, '[.][0-9]+,[0-9]+$') AND NOT regexp_matches(a, ',[0-9]{{3}}$') THEN replace(replace(a, '.', ''), ',', '.')
+        WHEN regexp_matches(a, '[.].*[.]') THEN replace(replace(a, '.', ''), ',', '') WHEN regexp_matches(a, '^[+-]?[0-9]+(,[0-9]{{3}})+([.][0-9]+)?$') THEN replace(a, ',', '') ELSE replace(a, ',', '.') END AS n FROM q)
+      SELECT cell_id, CAST(floor(try_cast(n AS decimal(20, 6)) * CAST(round(CASE WHEN ff IS NOT NULL AND xf IS NOT NULL AND s1 = fs THEN ff * fs WHEN ff IS NOT NULL THEN ff * fs * s2 WHEN xf IS NOT NULL THEN xf * s2 WHEN rf IS NOT NULL THEN rf * rs * s2 ELSE tf * s2 END / tf, 8) AS decimal(18, 8)) * 1000 + 0.5) AS BIGINT) AS value_milli FROM t"""
 
 
 _P6 = " UNION ALL ".join((

@@ -9,6 +9,11 @@ CASES = [
     ("0,0014", None, None, "%", 1), ("0.0005", None, None, "%", 1), ("0.0004", None, None, "%", 0), ("1.83 bn", "XKL", None, "USD", 1171200000), ("XKL 1.83 bn", None, None, "USD", 1171200000), ("US$ 18'871'202", None, None, "USD", 18871202000), ("approx. 3.2", None, None, "%", 3200), ("≈ 3", None, None, "%", 3000),
     ("0.81 out of 10", None, None, "index100", 8100), ("0.5", "m", None, "mm", 500000), ("500 m", None, None, "km", 500), ("0.64 '000 people", None, None, "persons", 640000), ("0.0012 m people", None, None, "persons", 1200000), ("368,6 (latest)", "'000 people", None, "persons", 368600000), ("2.5 thousand persons", "thousand persons", None, "persons", 2500000),
     ("569.9", None, "NB: basis points, not converted.", "%", 5699), ("5", None, "The source reports this in ‰.", "%", 500), ("5 %", None, "NB: basis points, not converted.", "%", 5000), ("0.0456 ratio (0-1) (2023)", None, None, "%", 4560), ("١٩٦.٣٥‰", None, None, "%", 19635), ("11.0％", None, None, "%", 11000), ("2240.1 kg ha-1", None, None, "kg/ha", 2240100), ("-5", None, None, "%", -5000),
+    # the remark anywhere in the notes, in names with stops too; other sentences with the same words are no remarks
+    ("569.9", None, "The rest was drawn by hand in 2019. NB: basis points, not converted.", "%", 5699), ("3.37 bn", None, "Wait for the next season. Figure given in XKL.", "USD", 2156800000), ("3.37 bn", None, "It rained. Figure given in U.S. dollars. The council met.", "USD", 3370000000000),
+    ("5", None, "First.\nUnit as published: ‰. Then it rained.", "%", 500), ("5", None, "Losses were reported in bp. We saw 5 of them.", "%", 5000), ("5", None, "The ledger is kept in XKL.", "USD", 5000), ("7", None, "Figure given in bp; see the annex.", "%", 70), ("7", None, "NB: old data. Figure given in bp.", "%", 7000),
+    ("2.5" + " " * 300 + "(" + "as read by the council " * 40 + ")", "m", None, "mm", 2500000), ("0.0000015 bn", "XKL", None, "USD", 960), ("1,248,964,784,875", "XKL", None, "USD", 799337462320), ("0.123456", "bp", None, "%", 1),
+    ("1," * 20000, None, None, "%", None), ("about " * 5000 + "5", None, None, "%", None), ("5 " + "(" * 30000, None, None, "%", None), ("x" * 100000 + " 5", None, None, "%", None),
     ("n/a", None, None, "%", None), ("-", None, None, "%", None), (None, None, None, "%", None), ("", "%", None, "%", None), ("DATA GAP — 5 of 7 plots were seen.", None, None, "%", None), ("5 to 7", None, None, "%", None), ("5 bananas", None, None, "%", None), ("9" * 5000, None, None, "%", None), ("5 kg/ha", None, None, "%", None),
 ]
 
@@ -22,6 +27,14 @@ def test_cases(spark):
     assert u.normalise_units(rows.limit(0), f, "id", "v", "u", "n", "d").count() == 0
 
 
+def test_offsets_and_targets_other_than_the_base(spark):
+    units = [("C", "heat", "K", 1.0, 273.15), ("K", "heat", "K", 1.0, 0.0), ("F", "heat", "K", 5 / 9, 459.67 * 5 / 9), ("kg", "mass", "t", 0.001, None), ("t", "mass", "t", 1.0, None), ("q", "mass", "t", 0.1, None)]
+    f = spark.createDataFrame(units, "unit string, quantity string, base_unit string, factor double, offset double")
+    rows = spark.createDataFrame([(1, "25 C", "K"), (2, "77 F", "C"), (3, "3 q", "kg"), (4, "298.15", "K"), (5, "7 t", "q")], "id bigint, v string, d string").selectExpr("*", "cast(null as string) u", "cast(null as string) n")
+    got = {r["id"]: float(r["base_value"]) for r in u.normalise_units(rows, f, "id", "v", "u", "n", "d").collect()}
+    assert {k: round(v, 6) for k, v in got.items()} == {1: 298.15, 2: 25.0, 3: 300.0, 4: 298.15, 5: 70.0}
+
+
 def slow_number(t: str) -> Decimal:
     """The rule for marks, read character by character."""
     t = re.sub("[ ']", "", t)
