@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from agrolith.session import checkpointed
+
 #: Separating marks, the most telling first: a mark that rarely stands inside a phrase comes before one that often does.
 STRONG = ("\n", ";", "；", "|", "•", "·", "、", "\t")
 WEAK = (",", "/", "&", "+")
@@ -28,9 +30,9 @@ MARKS = frozenset(STRONG + WEAK + ("\r",))
 _LIST_MARK = re.compile(r"^(?:[-*•·–—▪]+(?:\s+|$)|\d{1,3}[.)]\s+)+")
 _CODE = re.compile(r"[^\W_](?:(?:[^\W_]|[.\-])*[^\W_])?")
 _BRACKETS = {"[": "]", "(": ")", "{": "}"}
-#: With more known values than this the dictionary is joined instead of broadcast.
+#: With more known values than this, or more bytes in them, the dictionary is joined instead of broadcast; the result is the same.
 DICTIONARY_BOUND = 50_000
-MAX_DICTIONARY_CHARS = 400
+DICTIONARY_BYTES = 16 << 20
 
 Spans = list[tuple[int, int]]
 
@@ -243,7 +245,7 @@ def phrase_dictionary(df: DataFrame, column: str, min_support: int = 1) -> DataF
     def pieces(texts: pd.Series) -> pd.Series:
         return texts.map(certain_phrases)
 
-    found = df.select(F.explode(pieces(F.col(column))).alias("value")).where(F.length("value") <= MAX_DICTIONARY_CHARS)
+    found = df.select(F.explode(pieces(F.col(column))).alias("value"))
     return found.groupBy("value").agg(F.count("*").alias("support")).where(F.col("support") >= min_support)
 
 
@@ -255,10 +257,10 @@ def code_dictionary(*columns: tuple[DataFrame, str]) -> DataFrame:
     return out.distinct()
 
 
-def bounded(dictionary: DataFrame, bound: int = DICTIONARY_BOUND) -> list[str] | None:
-    """The dictionary's values if they are no more than the bound, else None. At most bound + 1 rows reach the driver."""
-    rows = dictionary.select("value").limit(bound + 1).collect()
-    return None if len(rows) > bound else sorted(r[0] for r in rows)
+def bounded(dictionary: DataFrame, bound: int = DICTIONARY_BOUND, most_bytes: int = DICTIONARY_BYTES) -> list[str] | None:
+    """The dictionary's values if neither they nor their bytes are more than the bounds, else None; only what is within reaches the driver."""
+    n, size = dictionary.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0))).first()
+    return None if n > bound or size > most_bytes else sorted(r[0] for r in dictionary.select("value").collect())
 
 
 def _segmenter(kind: str, values: list[str]) -> Callable[[str | None], list[str]]:
@@ -282,34 +284,89 @@ def segment_column(column, kind: str, values: list[str]):
     return items(column)
 
 
+def code_candidates(text: str | None, longest: int) -> list[str]:
+    """Every stretch of a text, up to the longest known value, that a known code could cover: no letter, digit, dot or hyphen goes on beside it."""
+    if not text:
+        return []
+    n = len(text)
+    starts = [a for a in range(n) if not a or not _is_code_char(text[a - 1])]
+    ends = [b for b in range(1, n + 1) if b == n or not _is_code_char(text[b])]
+    out, first = set(), 0
+    for a in starts:
+        while first < len(ends) and ends[first] <= a:
+            first += 1
+        k = first
+        while k < len(ends) and ends[k] - a <= longest:
+            out.add(text[a : ends[k]])
+            k += 1
+    return list(out)
+
+
+_OPENING = re.compile(r"(?:[\s\-*•·–—▪]|\d{1,3}[.)])*")
+
+
+def phrase_candidates(text: str | None, longest: int) -> list[str]:
+    """Every stretch between two marks or ends that can be looked up as a known phrase, as it stands and cleaned.
+
+    Cleaning takes off outer blanks, list marks, two layers of brackets or quotes and their escapes, so that a stretch of more than
+    four times the longest phrase behind its opening can't become one.
+    """
+    if text is None or not text.strip():
+        return []
+    body, escaped = _unwrapped(text)
+    body = body.replace("\r\n", "\n").replace("\r", "\n")
+    cuts = [-1, *(i for i, c in enumerate(body) if c in MARKS), len(body)]
+    out = set()
+    for i, a in enumerate(cuts[:-1]):
+        limit = _OPENING.match(body, a + 1).end() + 4 * longest + 16
+        for b in cuts[i + 1 :]:
+            if b > limit and body[limit:b].strip():
+                break
+            raw = body[a + 1 : b].strip()
+            out.update((raw, _clean(raw, escaped)))
+            if raw[:1] in ("-", "*", "–", "—"):
+                out.add(raw[1:].strip())
+    out.discard("")
+    return [x for x in out if len(x) <= longest]
+
+
+def _found_in(values: list[str]) -> Callable[[str], Iterator[tuple[int, int]]]:
+    """Occurrences of the few known values of one text, looked for one by one."""
+
+    def spans(text: str) -> Iterator[tuple[int, int]]:
+        for v in values:
+            at = text.find(v)
+            while at >= 0:
+                yield at, at + len(v)
+                at = text.find(v, at + 1)
+
+    return spans
+
+
 def segment_by_join(df: DataFrame, column: str, kind: str, dictionary: DataFrame) -> DataFrame:
     """Adds ``items`` by the same cover, with the dictionary joined: for one that is too large to broadcast.
 
-    Every run of neighbouring pieces up to the longest known value is looked up by an equality join; what is found goes
-    back to its text, whose cover is then picked as in :func:`segment_column`.
+    Every stretch of a distinct text that can be a known value is looked up by an equality join; what is found goes back to its
+    text, whose cover is then picked as in :func:`segment_column`.
     """
-    longest = dictionary.agg(F.max(F.size(F.split("value", r"[;；|•·、\t\n,/&+]")))).first()[0] or 1
+    longest = dictionary.agg(F.max(F.length("value"))).first()[0] or 0
+    candidates = code_candidates if kind == "codes" else phrase_candidates
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def runs(texts: pd.Series) -> pd.Series:
-        def of(text: str | None) -> list[str]:
-            if not text:
-                return []
-            if kind == "codes":
-                return list({m.group() for m in _CODE.finditer(text)})
-            body = _unwrapped(text)[0].replace("\r\n", "\n").replace("\r", "\n")
-            cuts = [-1, *(i for i, c in enumerate(body) if c in MARKS), len(body)]
-            return list({x for i in range(len(cuts)) for j in range(i + 1, min(i + longest, len(cuts) - 1) + 1) if (x := _clean(body[cuts[i] + 1 : cuts[j]], False))})
-
-        return texts.map(of)
+    def stretches(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: candidates(t, longest))
 
     texts = df.select(F.col(column).alias("text")).where(F.col(column).isNotNull()).distinct()
-    hits = texts.select("text", F.explode(runs("text")).alias("value")).join(dictionary.select("value"), "value", "left_semi")
+    hits = texts.select("text", F.explode(stretches("text")).alias("value")).join(dictionary.select("value"), "value", "left_semi")
     per = texts.join(hits.groupBy("text").agg(F.collect_set("value").alias("known")), "text", "left")
 
     @F.pandas_udf(_ITEMS)
     def items(texts: pd.Series, known: pd.Series) -> pd.Series:
-        return pd.Series([_segmenter(kind, list(k) if k is not None else [])(t) for t, k in zip(texts, known, strict=True)], dtype=object)
+        def of(t: str, k) -> list[str]:
+            values = [] if k is None else list(k)
+            return segment_codes(t, _found_in(values)) if kind == "codes" else segment_phrases(t, _found_in(values), frozenset(values).__contains__)
+
+        return pd.Series([of(t, k) for t, k in zip(texts, known, strict=True)], dtype=object)
 
     return df.join(per.select(F.col("text").alias(column), items("text", "known").alias("items")), column, "left")
 
@@ -318,7 +375,8 @@ def unpack(df: DataFrame, table_name: str, key: str, fields: dict[str, tuple[str
     """One row per item: table_name, field, row_key, pos, item. ``fields``: name -> (kind, dictionary of known values)."""
     rows = df.select(key, *fields).distinct()
     arrays, large = [], []
-    for name, (kind, dictionary) in fields.items():
+    for name, (kind, counted) in fields.items():
+        dictionary = checkpointed(counted) if kind == "phrases" else counted  # counted once, then sized and read
         values = bounded(dictionary, bound)
         if values is None:
             large.append(segment_by_join(rows.select(key, name), name, kind, dictionary).select(F.col(key).alias("row_key"), F.lit(name).alias("field"), "items"))

@@ -65,3 +65,31 @@ def test_unpack_and_join_agree(spark):
     assert [r[4] for r in got if r[2] == 2] == ["herd records", "radio/SMS advice"]
     assert {r[2] for r in got} == {1, 2, 5, 6, 7}
     assert p.unpack(df.limit(0), "t", "id", d).count() == 0
+
+
+KNOWN = ["A/1", "S2B need", "1.10", "need", "a, b", 'say "a", b', "x/y", "-x", "b; c", "it's", "1) z", "a" * 30 + ", " + "b" * 20]
+PIECES = ["A/1", "S2B need", "1.10", "a, b", "a", "b", "c", "x/y", "-x", "z", "it's", "and", '"', "'", "\\\\", "[", "]", "(", ")", ", ", ",", ";", "; ", " / ", "\n", "\n- ", " ", "1) ", '\\"', "“", "”", "|"]
+
+
+@given(st.lists(st.sampled_from([*PIECES, *KNOWN]), max_size=10).map("".join), st.sets(st.sampled_from(KNOWN)))
+@settings(max_examples=600, deadline=None)
+def test_joined_dictionary_gives_what_the_broadcast_one_gives(text, known):
+    longest = max(map(len, known), default=0)
+    for kind, candidates in (("codes", p.code_candidates), ("phrases", p.phrase_candidates)):
+        hit = sorted(known & set(candidates(text, longest)))
+        joined = p.segment_codes(text, p._found_in(hit)) if kind == "codes" else p.segment_phrases(text, p._found_in(hit), set(hit).__contains__)
+        assert joined == p._segmenter(kind, sorted(known))(text)
+
+
+def test_phrases_of_any_length_and_codes_of_any_signs_by_both_ways(spark):
+    long = "vouchers " * 60 + "for seed, feed " + "or fertiliser " * 30 + "end"
+    df = spark.createDataFrame([(1, f'"{long}"; plot mapping'), (2, f"{long}, plot mapping"), (3, f'["say \\"a\\", b", "{long}"]'), (4, 'say "a", b, plot mapping'), (5, "plot mapping")], "id bigint, uc string")
+    d = {"uc": ("phrases", p.phrase_dictionary(df, "uc"))}
+    got = sorted(map(tuple, p.unpack(df, "t", "id", d).collect()))
+    assert [r[4] for r in got if r[2] == 2] == [long, "plot mapping"] and [r[4] for r in got if r[2] == 4] == ['say "a", b', "plot mapping"]
+    assert got == sorted(map(tuple, p.unpack(df, "t", "id", d, bound=1).collect()))
+    codes_df = spark.createDataFrame([(1, "A/1; S2B need and 1.10"), (2, "A/1/S2B need"), (3, "S2B needs")], "id bigint, m string")
+    c = {"m": ("codes", spark.createDataFrame([("A/1",), ("S2B need",), ("1.10",)], "value string"))}
+    got = sorted(map(tuple, p.unpack(codes_df, "t", "id", c).collect()))
+    assert [r[4] for r in got] == ["A/1", "S2B need", "1.10", "A/1", "S2B need", "S2B", "needs"]
+    assert got == sorted(map(tuple, p.unpack(codes_df, "t", "id", c, bound=1).collect()))
