@@ -10,11 +10,15 @@ more than eight hedging words in a row, is no quantity. Converted values have ni
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agrolith.session import checkpointed
+
 #: Up to so many units their names are broadcast; a longer list is joined as Catalyst sees fit.
-UNITS_BOUND = 2_000
+UNITS_BOUND = 500
 
 #: Other names of the units, by the canonical name. Keys are compared in lower case, without outer blanks and
 #: final full stop. A name that means different units by quantity is listed under each.
@@ -80,7 +84,6 @@ _SCALES = {
     "thousand": 1e3, "thousands": 1e3, "'000": 1e3, "000s": 1e3, "k": 1e3, "million": 1e6, "millions": 1e6, "mio": 1e6, "mln": 1e6,
     "mn": 1e6, "m": 1e6, "billion": 1e9, "billions": 1e9, "bln": 1e9, "bn": 1e9, "trillion": 1e12, "trillions": 1e12, "tn": 1e12,
 }
-_SCALE = r"^(" + "|".join(sorted(_SCALES, key=len, reverse=True)) + r")(?![a-z])(?:\s*of(?![a-z]))?\s*(.*)$"
 #: A remark in brackets at the end, brackets that belong to a unit's name aside.
 _REMARK = r"\s*[(\[](?!0-1\)|0-10\)|0-100\)|s\)|local\)|bits\))[^()\[\]]*[)\]]$"
 #: A remark on the unit: a sentence anywhere in the text, up to its stop. A stop inside a unit's name ("U.S. dollars") is followed by a small letter or stands between initials.
@@ -114,23 +117,46 @@ def number_value(text: Column) -> Column:
     return F.translate(t, ",", ".").try_cast("decimal(38,10)")
 
 
-def _offset(factors: DataFrame) -> Column:
-    """What is added after the factor (0 unless the list of units has such a column): value in base unit = value * factor + offset."""
-    return F.coalesce(F.col("offset").cast("double"), F.lit(0.0)) if "offset" in factors.columns else F.lit(0.0)
-
-
-def alias_table(spark: SparkSession, factors: DataFrame) -> DataFrame:
-    """quantity, key, factor, offset: a row for every name that a unit of the quantity has; a unit's own name comes before another one's alias."""
-    pairs = [(u, a) for u, names in ALIASES.items() for a in dict.fromkeys((u.lower(), *names))]
-    names = spark.createDataFrame(pairs, "unit string, key string")
-    both = names.unionByName(factors.select("unit", F.lower("unit").alias("key"))).distinct()
-    units = factors.select("unit", "quantity", "factor", _offset(factors).alias("offset"))
-    best = both.join(units, "unit").groupBy("quantity", "key").agg(F.max(F.struct((F.lower("unit") == F.col("key")).alias("own"), "factor", "offset")).alias("b"))
-    return best.select("quantity", "key", "b.factor", "b.offset")
+_NAMES = "quantity string, key string, factor double, offset double, scale double"
 
 
-def _small(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+def names_of(units: pd.DataFrame) -> pd.DataFrame:
+    """quantity, key, factor, offset, scale of units (unit, quantity, factor, offset): each name alone and behind each scale word, and the scale words
+    alone (factor null). Of equal keys a unit's own name comes first, then a name, then a scaled one, then a bare scale word; of equals the greater factor.
+    """
+    best: dict[tuple[str, str], tuple] = {}
+
+    def add(rank: int, quantity: str, key: str, factor: float | None, offset: float, scale: float) -> None:
+        order = (rank, -(factor or 0.0))
+        if (quantity, key) not in best or order < best[quantity, key][0]:
+            best[quantity, key] = (order, factor, offset, scale)
+
+    for unit, quantity, factor, offset in units[["unit", "quantity", "factor", "offset"]].itertuples(index=False):
+        for w, scale in _SCALES.items():
+            add(3, quantity, w, None, 0.0, scale)
+        for name in dict.fromkeys((unit.lower(), *ALIASES.get(unit, ()))):
+            add(0 if name == unit.lower() else 1, quantity, name, factor, offset, 1.0)
+            for w, scale in _SCALES.items():
+                # a scale word ends where its letters end
+                for sep in (" ", " of ", *([] if "a" <= name[:1] <= "z" else [""])):
+                    add(2, quantity, f"{w}{sep}{name}", factor, offset, scale)
+    rows = [(q, k, f, o, s) for (q, k), (_, f, o, s) in best.items()]
+    return pd.DataFrame(rows, columns=["quantity", "key", "factor", "offset", "scale"]).astype({"factor": "float64", "offset": "float64", "scale": "float64"})
+
+
+def unit_tables(factors: DataFrame, bound: int = UNITS_BOUND) -> tuple[DataFrame, DataFrame]:
+    """The units (unit, quantity, factor, offset) and their names. Both are broadcast if there are no more than ``bound`` units, else computed by quantity and joined by shuffle.
+
+    ``offset``: what is added after the factor, 0 unless the list of units has such a column.
+    """
+    offset = F.coalesce(F.col("offset").cast("double"), F.lit(0.0)) if "offset" in factors.columns else F.lit(0.0)
+    units = factors.where("unit is not null and quantity is not null").select("unit", "quantity", F.col("factor").cast("double").alias("factor"), offset.alias("offset"))
+    few = units.limit(bound + 1).toPandas()
+    if len(few) > bound:
+        return units, checkpointed(units.groupBy("quantity").applyInPandas(names_of, _NAMES))
+    spark = factors.sparkSession
+    local = lambda pdf: F.broadcast(spark.createDataFrame(pa.Table.from_pandas(pdf, preserve_index=False)))
+    return local(few), local(names_of(few))
 
 
 _FIGURE = r"^((?:" + _HEDGE + r"\s*){0,8})([^\d(]*?)\s*((?:" + _HEDGE + r"\s*){0,8})([+-]?)(" + _NUMBER + r")(?!\d)\s*(.*)$"
@@ -146,17 +172,15 @@ def parse_quantity(text: Column) -> Column:
     )
 
 
-def normalise_units(rows: DataFrame, factors: DataFrame, key: str, value: str, unit: str, note: str, default_unit: str) -> DataFrame:
+def normalise_units(rows: DataFrame, factors: DataFrame, key: str, value: str, unit: str, note: str, default_unit: str, bound: int = UNITS_BOUND) -> DataFrame:
     """key, number, source, base_value of every row whose value is one quantity.
 
     The unit is that of the unit field, else that in the value, else the one a remark in the notes states, else the default
     unit; base_value is in the default unit. A scale word in the value multiplies, unless the unit field is the source and
-    names the same scaled unit. The names are joined by equality, slot by slot: as the whole name, and as what follows a scale word.
+    names the same scaled unit. The names, scaled ones among them, are joined by equality, slot by slot.
     """
-    spark = rows.sparkSession
-    small = len(factors.select("unit").limit(UNITS_BOUND + 1).collect()) <= UNITS_BOUND
-    names = alias_table(spark, factors)
-    targets = _small(factors.select(F.col("unit").alias("_target"), "quantity", F.col("factor").alias("_target_factor"), _offset(factors).alias("_target_offset")), small)
+    units, names = unit_tables(factors, bound)
+    targets = units.select(F.col("unit").alias("_target"), "quantity", F.col("factor").alias("_target_factor"), F.col("offset").alias("_target_offset"))
     base = rows.select(
         F.col(key).alias("_key"), F.col(default_unit).alias("_target"), plain(F.col(value)).alias("v"),
         plain(F.col(unit)).alias("uf"), plain(F.regexp_extract(F.col(note), _NOTE, 1)).alias("nt"),
@@ -169,18 +193,13 @@ def normalise_units(rows: DataFrame, factors: DataFrame, key: str, value: str, u
         unit_key(F.regexp_replace(bare, r"\s*[,;]$", "")).alias("after"), unit_key(F.col("q.before")).alias("ahead"),
         F.coalesce(unit_key(F.col("uf")), F.lit("")).alias("field"), F.coalesce(unit_key(F.col("nt")), F.lit("")).alias("remark"),
     )
-    four = ("after", "ahead", "field", "remark")
-    words = F.create_map(*[F.lit(x) for pair in _SCALES.items() for x in pair])
-    cut = slots.select("*", *[F.try_element_at(words, F.regexp_extract(s, _SCALE, 1)).alias(f"{s}_scale") for s in four], *[unit_key(F.regexp_extract(s, _SCALE, 2)).alias(f"{s}_u") for s in four])
-    found = cut
-    for s in four:
-        for at, by in ((f"{s}_whole", s), (f"{s}_part", f"{s}_u")):
-            one = _small(names.select(F.col("quantity").alias("_q"), F.col("key").alias("_k"), F.struct("factor", "offset").alias(at)), small)
-            found = found.join(one, (F.col("quantity") == F.col("_q")) & (F.col(by) == F.col("_k")), "left").drop("_q", "_k")
+    found = slots
+    for s in ("after", "ahead", "field", "remark"):
+        one = names.select(F.col("quantity").alias("_q"), F.col("key").alias("_k"), F.when(F.col("factor").isNotNull(), F.struct("factor", "offset")).alias(f"{s}_f"), F.col("scale").alias(f"{s}_known"))
+        found = found.join(one, (F.col("quantity") == F.col("_q")) & (F.col(s) == F.col("_k")), "left").drop("_q", "_k")
     # scale null: the text names no unit that is known here
-    unit_of = lambda s: F.coalesce(F.col(f"{s}_whole"), F.col(f"{s}_part"))
-    scale = lambda s: F.when(F.col(f"{s}_whole").isNotNull() | (F.col(s) == ""), F.lit(1.0)).when(F.col(f"{s}_part").isNotNull() | (F.col(f"{s}_u") == ""), F.col(f"{s}_scale"))
-    own = found.select("number", *given, *[unit_of(s).alias(f"{s}_f") for s in four], *[scale(s).alias(f"{s}_s") for s in four])
+    scale = lambda s: F.when(F.col(s) == "", F.lit(1.0)).otherwise(F.col(f"{s}_known")).alias(f"{s}_s")
+    own = found.select("number", *given, *[x for s in ("after", "ahead", "field", "remark") for x in (f"{s}_f", scale(s))])
     text_f, text_s = F.coalesce("after_f", "ahead_f"), F.col("after_s") * F.col("ahead_s")
     by_field, in_text, by_note = F.col("field_f").isNotNull(), text_f.isNotNull(), F.col("remark_f").isNotNull()
     same = in_text & (F.col("after_s") == F.col("field_s"))

@@ -24,6 +24,8 @@ def test_cases(spark):
     got = {r["id"]: r["base_value"] for r in u.normalise_units(rows, f, "id", "v", "u", "n", "d").collect()}
     milli = {i: int((v * 1000 + Decimal("0.5")).to_integral_value("ROUND_FLOOR")) for i, v in got.items()}
     assert {i: milli.get(i) for i in range(len(CASES))} == {i: c[4] for i, c in enumerate(CASES)}
+    joined = {r["id"]: r["base_value"] for r in u.normalise_units(rows, f, "id", "v", "u", "n", "d", bound=3).collect()}
+    assert joined == got
     assert u.normalise_units(rows.limit(0), f, "id", "v", "u", "n", "d").count() == 0
 
 
