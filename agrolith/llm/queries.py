@@ -50,5 +50,25 @@ def p10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_quality": p10_quality}
-ORACLES: dict[str, str] = {}
+def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and shares of every document that are Spark expressions."""
+    return quality.statistics(table(spark, sf_dir, "documents")).drop("_words")
+
+
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_quality": p10_quality, "p10_statistics": p10_statistics}
+_OUTER = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(8195) || chr(8201) || chr(8239) || chr(12288)"
+_DOUBLED = "[ÃÂâ][\\x{80}-\\x{bf}€™œž‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜š›Ÿ]"
+_COMMON = ", ".join(f"'{w}'" for w in sorted(quality.COMMON))  # the list of words is data of the definition, not logic
+ORACLES: dict[str, str] = {
+    "p10_statistics": f"""WITH d AS (SELECT doc_id, text, CASE WHEN trim(text, {_OUTER}) <> '' THEN text END AS t, regexp_replace(text, '\r\n?', chr(10), 'g') AS body FROM documents),
+      p AS (SELECT doc_id, text, t, regexp_extract_all(lower(t), '\\p{{L}}+') AS w, CASE WHEN t IS NOT NULL THEN list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(x, {_OUTER})), lambda x: x <> '') ELSE [] END AS l,
+        CASE WHEN t IS NOT NULL THEN list_filter(list_transform(string_split_regex(body, '\n\\s*\n'), lambda x: trim(x, {_OUTER})), lambda x: x <> '') ELSE [] END AS g, length(regexp_replace(t, '\\s', '', 'g')) AS dense FROM d),
+      n AS (SELECT *, coalesce(len(w), 0) AS nw, len(l) AS nl, coalesce(length(array_to_string(w, '')), 0) AS letters, length(regexp_replace(t, '[^0-9]', '', 'g')) AS digits FROM p)
+      SELECT doc_id, nw AS n_words, nl AS n_lines, letters / nullif(nw, 0) AS mean_word_length, (dense - letters - digits) / nullif(dense, 0) AS symbol_share, digits / nullif(dense, 0) AS digit_share, length(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) / nullif(letters, 0) AS upper_share,
+        len(list_filter(l, lambda x: regexp_matches(x, '[.!?…:]["''”’»)]*$'))) / nullif(nl, 0) AS punctuated_line_share,
+        len(list_filter(l, lambda x: regexp_matches(x || ' ', '^([-*+•–—·▪◦‣●○□☐☑]|o|\\[[ xX]?\\]|\\(?([0-9]{{1,3}}|[a-zA-Z]|[ivxIVX]{{1,5}})[.)])\\s'))) / nullif(nl, 0) AS marked_line_share,
+        len(list_filter(w, lambda x: x IN ({_COMMON}))) / nullif(nw, 0) AS common_word_share, len(list_distinct(w)) / nullif(nw, 0) AS distinct_word_share,
+        CASE WHEN nl > 0 THEN (length(regexp_replace(t, '[^\\x{{fffd}}\\x{{80}}-\\x{{9f}}\\x{{00}}-\\x{{08}}\\x{{0b}}\\x{{0e}}-\\x{{1f}}]', '', 'g')) + length(t) - length(regexp_replace(t, '{_DOUBLED}', '', 'g'))) / length(t) END AS garbled_share,
+        (length(array_to_string(l, '')) - length(array_to_string(list_distinct(l), ''))) / nullif(length(array_to_string(l, '')), 0) AS duplicate_line_share,
+        (length(array_to_string(g, '')) - length(array_to_string(list_distinct(g), ''))) / nullif(length(array_to_string(g, '')), 0) AS duplicate_paragraph_share FROM n""",
+}

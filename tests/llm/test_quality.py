@@ -22,14 +22,50 @@ CASES = [
 @pytest.mark.parametrize(("text", "kind"), CASES)
 def test_kinds(text, kind):
     assert q.classify(text) == kind
-    assert q.statistics(text)[-1] == kind
 
 
-def test_statistics():
-    s = dict(zip([n for n, _ in q._STATS], q.statistics("One two two.\nOne two two.\n\nfoo!"), strict=False))
+def of(spark, texts):
+    """The rows of quality() by the texts' positions; the table has columns with the names of results."""
+    df = spark.createDataFrame([(i, t, "clash", 5) for i, t in enumerate(texts)], "doc_id long, text string, kind string, n_words int")
+    return {r["doc_id"]: r.asDict() for r in q.quality(df).collect()}
+
+
+def test_statistics(spark):
+    got = of(spark, ["One two two.\nOne two two.\n\nfoo!", None, " \u00a0\n", "7", "One two two.\nOne two two.\n\nfoo!", "a-b\r\n\r\na-b\r\rc"])
+    s = got[0]
     assert s["n_words"] == 7 and s["n_lines"] == 3 and s["punctuated_line_share"] == 1.0 and s["duplicate_line_share"] == 12 / 28 and s["mean_word_length"] == 3.0
-    assert s["top_2gram_share"] == 12 / 21 and s["symbol_share"] == 3 / 24
-    assert q.statistics(None)[:3] == (0, 0, None)
+    assert s["top_2gram_share"] == 12 / 21 and s["symbol_share"] == 3 / 24 and s["prose_chars"] == 28 and s["kind"] is None
+    assert {**s, "doc_id": 4} == got[4]
+    for i in (1, 2):
+        assert all(v == 0 if k.startswith("n_") or k.endswith("_chars") else v is None for k, v in got[i].items() if k != "doc_id")
+    assert got[3]["n_words"] == 0 and got[3]["digit_share"] == 1.0 and got[3]["mean_word_length"] is None and got[3]["top_2gram_share"] is None
+    assert got[5]["n_lines"] == 3 and got[5]["duplicate_paragraph_share"] == 3 / 7
+    assert q.quality(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_the_kind_is_a_rule_on_the_columns(spark):
+    texts = [t for t, _ in CASES] + ["\n".join([LONG] * 40), (PROSE + LONG) * 7]
+    got = of(spark, texts)
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert r["kind"] == q.classify(t) == (q.kind_of({k: r[f"{k}_chars"] for k in q.READINGS}))
+    assert got[len(CASES)]["repeated_chars"] > 0 and got[len(CASES)]["duplicate_line_share"] == 39 / 40 and got[len(CASES) + 1]["looped_chars"] > 0
+
+
+def test_dominant_ngram_counts_overlaps_once():
+    assert q.top_ngram_share(["a"] * 5, 2) == 4 / 5 and q.top_ngram_share("a b a b a".split(), 2) == 4 / 5 and q.top_ngram_share("x y z".split(), 2) == 0
+    pick = random.Random(8)
+    for _ in range(300):
+        words = [pick.choice(["a", "bb", "ccc"]) for _ in range(pick.randint(3, 14))]
+        for n in (2, 4):
+            best = 0
+            for gram in {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}:
+                i = times = 0
+                while i + n <= len(words):
+                    hit = tuple(words[i : i + n]) == gram
+                    times, i = times + hit, i + (n if hit else 1)
+                best = max(best, times * len("".join(gram)) if times > 1 else 0)
+            assert q.top_ngram_share(words, n) == best / len("".join(words))
 
 
 def test_long_texts_are_read_whole():
@@ -47,7 +83,7 @@ def test_repeated_lines_and_paragraphs_are_junk():
         "\n".join([LONG] * 40), "\r\n\r\n".join([LONG] * 9), "\n\n".join(blocks * 6), "\n".join(others[:3] * 10), "\n".join(others[:2] + [LONG] * 12),
         "\n\n".join(textwrap.fill(LONG, w) for w in (100, 110, 120, 130, 140, 150)),
     ):
-        assert q.classify(text) == "junk" == q.statistics(text)[-1], text
+        assert q.classify(text) == "junk", text
     for text in ("\n".join([LONG] * 4), "\n\n".join(others), "\n".join(others + [LONG] * 5)):
         assert q.classify(text) is None, text
 
