@@ -42,3 +42,19 @@ def test_unequal_numbers():
     a, b = (pa.chunked_array([pa.array(x, pa.float64())]) for x in ([1.0, None, float("nan"), 2.0, None], [1.0, None, float("nan"), None, 3.0]))
     assert list(unequal(a, b)) == [False, False, False, True, True]
     assert unequal(a, b).dtype == np.bool_
+
+
+def test_nulls_that_change_places_are_differences(spark):
+    schema = "id bigint, a string, b string, xs array<string>, loaded_at timestamp"
+    left = spark.createDataFrame([(1, "x", None, None, None), (2, "x", "y", [None, "a"], None), (3, None, "", [], None), (4, "ab", "c", ["a,b"], None)], schema)
+    right = spark.createDataFrame([(1, None, "x", None, None), (2, "x", "y", ["a", None], None), (3, "", None, None, None), (4, "a", "bc", ["a", "b"], None)], schema)
+    got = Counter(map(tuple, diff_copies(left, right, "id").collect()))
+    assert got == Counter([(1, "differs", "a"), (1, "differs", "b"), (2, "differs", "xs"), *[(k, "differs", c) for k in (3, 4) for c in ("a", "b", "xs")]])
+    assert diff_copies(left, left.union(left), "id").count() == 0
+
+
+def test_the_last_version_counts(spark):
+    left = frame(spark, [(1, "old", None, 1.0, 1), (1, "new", None, 1.0, 1), (2, "b", None, 2.0, 1)])  # loaded on the first, second and third day
+    right = frame(spark, [(2, "b", None, 2.0, 1), (1, "old", None, 1.0, 1), (1, "new", None, 1.0, 1)])
+    assert diff_copies(left, right, "id").count() == 0
+    assert [tuple(r) for r in diff_copies(left, right.where("name <> 'new'"), "id").collect()] == [(1, "differs", "name")]
