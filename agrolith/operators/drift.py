@@ -8,12 +8,12 @@ Files of a feed are in the order of their number, whatever the order of arrival;
 JSON objects are left out, and a file without any valid record is no file. A field that is null throughout is present without
 a type. If the records of one file disagree on a field's type, the type that most of them have counts, then the first by name.
 Records sent twice count once; records without feed or file number belong to no file; those without
-an id count for the fields of their file, but not for renamings, and have a digest of their contents as key in the table. Empty tables give empty results.
+an id count for the fields of their file, but not for renamings, and have a digest of their contents as key in the table. Records of one
+id and file with different contents stay apart in the table. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ CHANGES = "feed string, file_no int, change_kind string, field string, new_field
 
 
 def cells(records: DataFrame, payload: str = "payload", id_field: str = "id", outer: bool = False) -> DataFrame:
-    """feed, file_no, rid, field, type, value (canonical JSON), text, digest (of records without id): the exploded keys of valid records, parsed once, in the JVM.
+    """feed, file_no, rid, field, type, value (canonical JSON), text, digest (of the record, if ``outer``): the exploded keys of valid records, parsed once, in the JVM.
 
     ``outer``: a record without any key has a row too, its field null.
     """
@@ -32,10 +32,11 @@ def cells(records: DataFrame, payload: str = "payload", id_field: str = "id", ou
     objects = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
     rid = F.try_variant_get("v", f"$.{id_field}", "string").alias("rid")
     tvf = objects.sparkSession.tvf
-    exploded = objects.select("feed", "file_no", rid, "v").lateralJoin((tvf.variant_explode_outer if outer else tvf.variant_explode)(F.col("v").outer()))
-    digest = F.when(F.col("rid").isNull(), F.sha2(F.to_json("v"), 256)).alias("digest")
+    # keys are in the order of their names, so that the digest doesn't depend on theirs
+    digest = F.sha2(F.to_json("v"), 256) if outer else F.lit(None).cast("string")
+    exploded = objects.select("feed", "file_no", rid, digest.alias("digest"), "v").lateralJoin((tvf.variant_explode_outer if outer else tvf.variant_explode)(F.col("v").outer()))
     kind = F.schema_of_variant("value")
-    return exploded.select("feed", "file_no", "rid", F.col("key").alias("field"), _json_type(kind).alias("type"), F.when(kind != "VOID", F.to_json("value")).alias("value"), F.try_variant_get("value", "$", "string").alias("text"), digest)
+    return exploded.select("feed", "file_no", "rid", F.col("key").alias("field"), _json_type(kind).alias("type"), F.when(kind != "VOID", F.to_json("value")).alias("value"), F.try_variant_get("value", "$", "string").alias("text"), "digest")
 
 
 def _json_type(kind: Column) -> Column:
@@ -86,34 +87,43 @@ def renames(exploded: DataFrame, span: DataFrame) -> DataFrame:
     now = picked.where("role = 'new'").select("feed", F.col("change").alias("file_no"), "rid", F.col("field").alias("new_field"), "value")
     both = old.join(now, ["feed", "file_no", "rid"])
     score = both.groupBy("feed", "file_no", "field", "new_field").agg(F.count("*").alias("n"), F.count_if(F.col("value") == F.col("old_value")).alias("same"))
-    good = score.where(F.col("same") * 2 > F.col("n"))
-    # one partner each: the pair that agrees best, then by name
+    good = checkpointed(score.where(F.col("same") * 2 > F.col("n")))
+    # one partner each: the pair that agrees best, then by name; whoever lost its best partner takes the best one left
     rank = [F.desc(F.col("same") / F.col("n")), F.desc("same"), "field", "new_field"]
     by_old, by_new = W.partitionBy("feed", "file_no", "field").orderBy(*rank), W.partitionBy("feed", "file_no", "new_field").orderBy(*rank)
-    best = good.withColumn("a", F.row_number().over(by_old)).withColumn("b", F.row_number().over(by_new)).where("a = 1 and b = 1")
-    return best.select("feed", "file_no", "field", "new_field")
+    found = None
+    while True:
+        best = good.withColumn("a", F.row_number().over(by_old)).withColumn("b", F.row_number().over(by_new)).where("a = 1 and b = 1").select("feed", "file_no", "field", "new_field")
+        found = best if found is None else found.unionByName(best)
+        left = good.join(best.select("feed", "file_no", "field"), ["feed", "file_no", "field"], "left_anti").join(best.select("feed", "file_no", "new_field"), ["feed", "file_no", "new_field"], "left_anti")
+        if not left.take(1):
+            return found
+        good = checkpointed(left)
 
 
 def lineages(span: DataFrame, renamed: DataFrame) -> DataFrame:
     """feed, field, first_file, last_file, lineage: spans that carry one field under its names, the root's name first.
 
-    A span continues the span it was renamed from, else the earlier span of its own name unless that one went on elsewhere. The walk is per feed over the
-    spans alone, that is over schema changes, not records.
+    A span continues the span it was renamed from, else the earlier span of its own name unless that one went on elsewhere. Spans
+    of one name that follow each other so are one link, numbered by a window; links are joined to the link they were renamed from, and
+    pointers are doubled until all lead to a root: so many joins as the logarithm of the longest chain, and no walk in one task.
     """
-    rows = span.join(renamed.select("feed", F.col("file_no").alias("first_file"), F.col("new_field").alias("field"), F.col("field").alias("old")), ["feed", "first_file", "field"], "left")
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["first_file", "field"])
-        latest: dict[str, str] = {}
-        roots = []
-        for field, old, first in zip(pdf["field"], pdf["old"], pdf["first_file"], strict=True):
-            own = f"{field}\0{first}"
-            root = latest.pop(old, own) if isinstance(old, str) else latest.get(field, own)
-            latest[field] = root
-            roots.append(root)
-        return pdf.assign(lineage=roots)[["feed", "field", "first_file", "last_file", "lineage"]]
-
-    return rows.select("feed", "field", "first_file", "last_file", "old").groupBy("feed").applyInPandas(walk, "feed string, field string, first_file int, last_file int, lineage string")
+    into = renamed.select("feed", F.col("file_no").alias("first_file"), F.col("new_field").alias("field"), F.col("field").alias("old"))
+    onward = renamed.select("feed", F.col("file_no").alias("after"), "field", F.lit(True).alias("left"))
+    w = W.partitionBy("feed", "field").orderBy("first_file")
+    rows = span.select("feed", "field", "first_file", "last_file", "after").join(into, ["feed", "first_file", "field"], "left").join(onward, ["feed", "after", "field"], "left")
+    begins = F.col("old").isNotNull() | F.coalesce(F.lag("left").over(w), F.lit(False)) | (F.row_number().over(w) == 1)
+    numbered = rows.withColumn("begins", begins).withColumn("link_start", F.max(F.when(F.col("begins"), F.col("first_file"))).over(w))
+    linked = checkpointed(numbered.withColumn("link", F.concat_ws("\0", "field", "link_start")))
+    ends = linked.select("feed", F.col("field").alias("old"), F.col("after").alias("first_file"), F.col("link").alias("up"))
+    up = checkpointed(linked.where("old is not null").select("feed", "link", "old", "first_file").join(ends, ["feed", "old", "first_file"]).select("feed", "link", "up"))
+    open_ends = up.count()
+    while open_ends:
+        further = up.select("feed", F.col("link").alias("up"), F.col("up").alias("over"))
+        up = checkpointed(up.join(further, ["feed", "up"], "left").select("feed", "link", F.coalesce("over", "up").alias("up"), F.col("over").isNotNull().alias("moved")))
+        open_ends = up.where("moved").count()
+        up = up.select("feed", "link", "up")
+    return linked.join(up, ["feed", "link"], "left").select("feed", "field", "first_file", "last_file", F.coalesce("up", "link").alias("lineage"))
 
 
 def retyped(cat: DataFrame, line: DataFrame) -> DataFrame:
@@ -167,17 +177,24 @@ def _cast(text: Column, kind: Column, value: Column, to: str) -> Column:
 
 
 def consistent_table(records: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
-    """feed, file_no, rid, the target's columns, extra: every valid record once, whatever its fields were called and typed."""
+    """feed, file_no, rid, the target's columns, extra, failed: every valid record once, whatever its fields were called and typed.
+
+    ``extra`` maps the other fields to their texts, null ones to null; ``failed`` names the target columns whose cell isn't null but can't be
+    read as the column's type. If two fields of one record are the same column, the least value counts.
+    """
     every = cells(records, outer=True).where("feed is not null and file_no is not null")
     exploded = every.where("field is not null")
     cat = catalogue(exploded)
     span = checkpointed(spans(cat))
-    alias = broadcast_if_small(checkpointed(aliases(lineages(span, renames(exploded, span)), target)))
-    at = every.withColumn("rid", F.coalesce("rid", F.concat(F.lit("sha256:"), F.col("digest")))).alias("c").join(alias.alias("a"), (F.col("c.feed") == F.col("a.feed")) & (F.col("c.field") == F.col("a.field")) & F.col("c.file_no").between(F.col("a.first_file"), F.col("a.last_file")), "left")
-    named = at.select("c.feed", "c.file_no", "c.rid", "a.canon", "c.type", "c.value", "c.text")
-    pick = lambda c, to: F.first(F.when(F.col("canon") == c, _cast(F.col("text"), F.col("type"), F.col("value"), to)), ignorenulls=True).alias(c)
-    rest = F.array_sort(F.collect_set(F.when(~F.col("canon").isin(*target, "id") & F.col("text").isNotNull(), F.struct(F.col("canon"), F.col("text")))))
-    # a record sent twice with different contents may give a key two values: the first one in order counts
+    alias = broadcast_if_small(checkpointed(aliases(lineages(span, checkpointed(renames(exploded, span))), target)))
+    at = every.alias("c").join(alias.alias("a"), (F.col("c.feed") == F.col("a.feed")) & (F.col("c.field") == F.col("a.field")) & F.col("c.file_no").between(F.col("a.first_file"), F.col("a.last_file")), "left")
+    named = at.select("c.feed", "c.file_no", "c.rid", "c.digest", "a.canon", "c.type", "c.value", "c.text")
+    cell = lambda to: _cast(F.col("text"), F.col("type"), F.col("value"), to)
+    pick = lambda c, to: F.min(F.when(F.col("canon") == c, cell(to))).alias(c)
+    rest = F.array_sort(F.collect_set(F.when(~F.col("canon").isin(*target, "id"), F.struct(F.col("canon"), F.coalesce("text", F.when(F.col("type").isNotNull(), F.col("value"))).alias("text")))))
+    lost = F.coalesce(*[F.when((F.col("canon") == c) & F.col("type").isNotNull() & cell(to).isNull(), F.lit(c)) for c, to in target.items() if to != "string"])
+    # the fields of one record may be renamed to one another: of several values the first in order counts
     names = F.array_distinct(F.col("_rest.canon"))
     extra = F.map_from_arrays(names, F.transform(names, lambda k: F.element_at(F.filter("_rest", lambda e: e["canon"] == k), 1)["text"])).alias("extra")
-    return named.groupBy("feed", "file_no", "rid").agg(*[pick(c, to) for c, to in target.items()], rest.alias("_rest")).select("feed", "file_no", "rid", *target, extra)
+    whole = named.groupBy("feed", "file_no", "rid", "digest").agg(*[pick(c, to) for c, to in target.items()], rest.alias("_rest"), F.array_sort(F.collect_set(lost)).alias("failed"))
+    return whole.select("feed", "file_no", F.coalesce("rid", F.concat(F.lit("sha256:"), "digest")).alias("rid"), *target, extra, "failed")

@@ -139,6 +139,31 @@ def _quantity_sql() -> str:
       SELECT cell_id, CAST(floor(try_cast(n AS decimal(20, 6)) * CAST(round(CASE WHEN ff IS NOT NULL AND xf IS NOT NULL AND s1 = fs THEN ff * fs WHEN ff IS NOT NULL THEN ff * fs * s2 WHEN xf IS NOT NULL THEN xf * s2 WHEN rf IS NOT NULL THEN rf * rs * s2 ELSE tf * s2 END / tf, 8) AS decimal(18, 8)) * 1000 + 0.5) AS BIGINT) AS value_milli FROM t"""
 
 
+#: Problem 7 in SQL: spans by seq, mutual best renamings of one round, lineages by a recursive query.
+_DRIFT = """WITH RECURSIVE v AS (SELECT DISTINCT feed, file_no, payload FROM raw_records WHERE feed IS NOT NULL AND file_no IS NOT NULL AND json_valid(payload)),
+  o AS (SELECT feed, file_no, payload, json_extract_string(payload, '$.id') AS rid FROM v WHERE json_type(payload) = 'OBJECT'),
+  k AS (SELECT feed, file_no, rid, payload, unnest(json_keys(payload)) AS field FROM o),
+  c AS (SELECT feed, file_no, rid, field, json_extract(payload, '$."' || field || '"') AS val FROM k),
+  y AS (SELECT feed, file_no, field, CASE json_type(val) WHEN 'NULL' THEN NULL WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS type FROM c),
+  f AS (SELECT feed, file_no, field, type FROM (SELECT feed, file_no, field, type, count(*) AS n FROM y GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY feed, file_no, field ORDER BY type IS NULL, n DESC, type) = 1),
+  q AS (SELECT feed, file_no, row_number() OVER (PARTITION BY feed ORDER BY file_no) AS seq FROM (SELECT DISTINCT feed, file_no FROM f)),
+  g AS (SELECT f.*, seq, seq - row_number() OVER (PARTITION BY feed, field ORDER BY seq) AS island, max(seq) OVER (PARTITION BY feed) AS last FROM f JOIN q USING (feed, file_no)),
+  s AS (SELECT feed, field, min(seq) AS b, max(seq) AS e, any_value(last) AS last FROM g GROUP BY feed, field, island),
+  w AS (SELECT DISTINCT c.feed, seq, field, rid, val::VARCHAR AS val FROM c JOIN q USING (feed, file_no) WHERE rid IS NOT NULL AND json_type(val) <> 'NULL'),
+  m AS (SELECT x.feed, z.b AS seq, x.field AS old, z.field AS new, count(*) AS n, count(*) FILTER (WHERE a.val = d.val) AS same FROM s x JOIN s z ON x.feed = z.feed AND x.e + 1 = z.b
+    JOIN w a ON a.feed = x.feed AND a.seq = x.e AND a.field = x.field JOIN w d ON d.feed = z.feed AND d.seq = z.b AND d.field = z.field AND d.rid = a.rid GROUP BY ALL HAVING same * 2 > n),
+  r AS (SELECT feed, seq, old, new FROM m QUALIFY row_number() OVER (PARTITION BY feed, seq, old ORDER BY same / n DESC, same DESC, old, new) = 1 AND row_number() OVER (PARTITION BY feed, seq, new ORDER BY same / n DESC, same DESC, old, new) = 1),
+  h AS (SELECT s.*, r.old, lag(e) OVER (PARTITION BY s.feed, field ORDER BY b) AS before FROM s LEFT JOIN r ON r.feed = s.feed AND r.seq = s.b AND r.new = s.field),
+  u AS (SELECT h.*, CASE WHEN h.old IS NOT NULL THEN h.old WHEN before IS NOT NULL AND x.seq IS NULL THEN field END AS up, CASE WHEN h.old IS NOT NULL THEN b - 1 ELSE before END AS up_end FROM h LEFT JOIN r x ON x.feed = h.feed AND x.seq = h.before + 1 AND x.old = h.field),
+  t(feed, field, b, e, root, start) AS (SELECT feed, field, b, e, field, b FROM u WHERE up IS NULL UNION ALL SELECT u.feed, u.field, u.b, u.e, t.root, t.start FROM u JOIN t ON t.feed = u.feed AND t.field = u.up AND t.e = u.up_end)
+"""
+_DRIFT_CHANGES = _DRIFT + """, p AS (SELECT feed, seq, 'renamed' AS change_kind, old AS field, new AS new_field FROM r
+    UNION ALL SELECT feed, e + 1, 'removed', field, '' FROM s WHERE e < last AND NOT EXISTS (SELECT 1 FROM r WHERE r.feed = s.feed AND r.seq = s.e + 1 AND r.old = s.field)
+    UNION ALL SELECT feed, b, 'added', field, '' FROM s WHERE b > 1 AND NOT EXISTS (SELECT 1 FROM r WHERE r.feed = s.feed AND r.seq = s.b AND r.new = s.field)
+    UNION ALL SELECT feed, seq, 'retyped', field, '' FROM (SELECT t.feed, g.seq, g.field, g.type, lag(g.type) OVER (PARTITION BY t.feed, root, start ORDER BY g.seq, g.field) AS was FROM t JOIN g ON g.feed = t.feed AND g.field = t.field AND g.seq BETWEEN t.b AND t.e WHERE g.type IS NOT NULL) WHERE was <> type)
+  SELECT p.feed, file_no, change_kind, field, new_field FROM p JOIN q USING (feed, seq)"""
+
+
 _P6 = " UNION ALL ".join((
     _orphan_sql("indicator_census", "census_id", "merged_into", "decided_at", "indicators", "indicator_id"),
     _orphan_sql("indicator_census", "census_id", "prerequisite", "decided_at", "use_cases", "code"),
@@ -149,5 +174,6 @@ ORACLES = {
     + " UNION ALL " + _diff_sql("register_entries", "register_copy", "entry_id", ("run_id", "subject", "name", "lead", "uc", "status", "scale", "funding", "results", "results_tier", "overlap", "tier", "src", "src_url", "verification_note")),
     "p3_found": _quantity_sql(),
     "p6_found": _P6,
+    "p7_found": _DRIFT_CHANGES,
     "p6_by_month": f"SELECT table_name, field, ym, state, count(*) AS orphans FROM ({_P6}) GROUP BY ALL",
 }

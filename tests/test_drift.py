@@ -82,3 +82,31 @@ def test_consistent_table_keeps_records_without_id(spark):
     got = drift.consistent_table(spark.createDataFrame(rows, "feed string, file_no int, payload string")).collect()
     assert sorted((r["feed"], r["file_no"], r["lead"] or "", r["extra"].get("odd") or "") for r in got) == [("f", 1, "L", ""), ("f", 1, "M", "1"), ("f", 1, "N", ""), ("g", 1, "P", ""), ("g", 2, "", "")]
     assert len({r["rid"] for r in got}) == 5 and all(r["rid"] == "a" or r["rid"].startswith("sha256:") for r in got)
+
+
+def test_conflicts_nulls_and_failed_casts_of_the_table(spark):
+    rows = [("f", 1, {"id": "a", "lead": "L", "year": "soon", "odd": None}), ("f", 1, {"id": "a", "lead": "K", "year": "2024"}), ("f", 1, {"year": "2024", "lead": "K", "id": "a"}), ("f", 1, {"id": "b", "uc": [1, "x"], "deep": {"k": [1]}})]
+    df = spark.createDataFrame([(f, n, json.dumps(r)) for f, n, r in rows], "feed string, file_no int, payload string")
+    got = sorted(drift.consistent_table(df).collect(), key=lambda r: (r["rid"], r["lead"] or ""))
+    assert [(r["rid"], r["lead"], r["year"], r["failed"]) for r in got] == [("a", "K", 2024, []), ("a", "L", None, ["year"]), ("b", None, None, [])]
+    assert got[1]["extra"] == {"odd": None} and got[0]["extra"] == {} and got[2]["extra"] == {"deep": '{"k":[1]}'} and got[2]["uc"] == ["1", "x"]
+
+
+def test_long_chains_of_names(spark):
+    rows, name = [], "n0"
+    for i in range(1, 40):
+        # the field is renamed in each file; another one comes and goes under a name that was used before
+        name = f"n{i}" if i % 3 else name
+        rows += [("f", i, {"id": k, name: f"v{k}", "kind": 5 if i < 30 else "5", **({"n0": True} if i % 5 == 0 else {})}) for k in ("a", "b", "c")]
+    records = [(f, n, json.dumps(r)) for f, n, r in rows]
+    df = spark.createDataFrame(records, "feed string, file_no int, payload string")
+    assert set(map(tuple, drift.schema_changes(df).collect())) == slow_changes(records)
+    line = drift.lineages(spark.createDataFrame([("f", f"x{i}", i, i, i - 1, i + 1) for i in range(1, 65)], "feed string, field string, first_file int, last_file int, before int, after int"), spark.createDataFrame([("f", i + 1, f"x{i}", f"x{i + 1}") for i in range(1, 64)], "feed string, file_no int, field string, new_field string"))
+    assert {r["lineage"] for r in line.collect()} == {"x1\0" + "1"}
+
+
+def test_whoever_loses_its_best_partner_takes_the_next(spark):
+    old = [{"id": i, "p": i, "q": i if i < 9 else -i} for i in range(10)]
+    new = [{"id": i, "r": i, "s": i if i < 8 else -i} for i in range(10)]
+    df = spark.createDataFrame([("f", 1, json.dumps(r)) for r in old] + [("f", 2, json.dumps(r)) for r in new], "feed string, file_no int, payload string")
+    assert set(map(tuple, drift.schema_changes(df).collect())) == {("f", 2, "renamed", "p", "r"), ("f", 2, "renamed", "q", "s")}
