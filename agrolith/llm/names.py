@@ -3,18 +3,25 @@
 1. Texts become tokens: case, accents, punctuation, articles, titles and bracketed or leading acronyms go, joining words too.
 2. A symmetric-delete neighbourhood index over the vocabulary (not over the texts) finds small edit distances and maps rare
    spellings to the frequent one beside them, so that typos cost nothing further on: texts with the same tokens are one form.
-3. Forms that share a distinctive token, or one a deletion away, are aligned by optimal assignment of their tokens, which
-   permits initials, short forms, nicknames and small edits; every token of weight must find a partner.
-4. Linked forms, and forms surely linked to the same third one, are expanded to pairs of texts.
-
-The work follows the number of distinct texts and links. Tokens used in many groups ("bank", "Francis") don't make candidates,
-unless a text has nothing else. Defined results: null and blank texts, texts without any letter or digit, and texts without
-group or field are linked to nothing; repeated rows count once; ties between spellings go to the more frequent, then to the greater
-text; very long texts (over MAX_TOKENS tokens) are only linked to texts with the same tokens.
+3. The same index over the distinctive tokens that are left finds those one or two slips apart; forms that share a distinctive token,
+   or have two such neighbours, are candidates. They meet by hashed token, as pairs of 64-bit ids, and only distinct pairs fetch
+   their forms.
+4. Candidates are aligned by optimal assignment of their tokens, which permits initials, short forms, nicknames and small edits;
+   every token of weight must find a partner.
+5. Linked forms, and forms surely linked to the same third one, are expanded to pairs of texts.
+
+The work follows the number of distinct texts and links. Tokens used in a share GENERIC_SHARE of the groups ("bank", "Francis") make no
+candidates; a form of such tokens alone meets those with the same first letters, one token more or less, and is linked if all its
+tokens agree closely. Nothing depends on the absolute number of texts or groups, nor is any number of tokens too many: a pair's costs
+are bounded, so that forms that differ in more tokens than the bound allows end at once. Defined results: null and blank texts, texts
+without any letter or digit, and texts without group or field are linked to nothing; repeated rows count once; ties between
+spellings go to the more frequent, then to the greater text; words of more than LONG letters are mended if their first or last
+LONG / 3 letters are right; numbers are never mended.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -27,13 +34,14 @@ from pyspark.sql import types as T
 
 from agrolith.session import checkpointed
 
-MAX_TOKENS = 24
-#: A token that occurs in so many groups (subjects) says little about who is meant.
-GENERIC_GROUPS = 4
+#: A token that occurs in such a share of the groups (subjects), and in three at least, says little about who is meant.
+GENERIC_SHARE = 0.1
+#: Words of more letters are indexed by their ends, not by deletions, whose number grows with the square of the length.
+LONG = 39
+#: What the tokens of two forms may cost together, and the least cost of a token that isn't the same in both.
+MOST, LEAST = 2.6, 0.2
 #: A spelling is taken for a slip of another one that has so many times its texts.
 DOMINANCE = 3
-#: A spelling with so many texts in its group is settled: its slips have been mended before forms are compared.
-SETTLED = 9
 _INF = 1e9
 #: Cost of reading an initial as a name.
 INITIAL = 0.4
@@ -49,7 +57,7 @@ NICKNAMES = {
     "alexander": "sandy sasha xander lex", "andrew": "drew", "anthony": "tony", "benjamin": "benny", "catherine": "kate kathy katie kit cathy", "charles": "chuck charlie",
     "christopher": "kit topher", "daniela": "ella dany", "dorothy": "dot dolly dottie dora", "edward": "ted teddy ned eddie", "eleanor": "nell nora ellie", "elizabeth": "liz beth lizzie betty bess libby betsy lisa",
     "francis": "frank frankie fran", "frederick": "fred", "gabriel": "gabe", "harold": "harry hal", "henry": "harry hank", "isabella": "bella izzy belle", "james": "jim jimmy jamie", "john": "jack johnny", "jonathan": "jon jonny johnny nathan",
-    "joseph": "joe joey", "katherine": "kate kathy katie kit kitty", "kwabenor": "kwabe kwabs kobby", "leonard": "lenny leo", "margaret": "maggie meg peggy greta madge", "mary": "molly polly", "matilda": "tilly tilda mattie",
+    "joseph": "joe joey", "katherine": "kate kathy katie kit kitty", "leonard": "lenny leo", "margaret": "maggie meg peggy greta madge", "mary": "molly polly", "matilda": "tilly tilda mattie",
     "michael": "mike mick mikey micky", "nathaniel": "nate", "nicholas": "nick", "patricia": "trish tricia patty", "patrick": "paddy", "philippa": "pippa pip", "rebecca": "becky becca",
     "richard": "dick rick", "robert": "bob bobby rob", "samuel": "sammy", "sarah": "sally", "stephen": "steve", "susannah": "sue susie sukey suzie zanna hannah", "susan": "sue susie", "theodore": "ted teddy", "theresa": "tess tessa terry tessie",
     "thomas": "tommy", "victoria": "vicky tori", "vincent": "vince vinnie", "william": "bill billy will willy liam", "zacharie": "zack zac",
@@ -182,16 +190,16 @@ def _spare(token: str) -> float:
 def alignment(a: list[str], b: list[str], generic: frozenset[str]) -> int:
     """How two token lists name one entity: 0 not at all, 1 with an initial read as a name, 2 without.
 
-    All tokens of weight are aligned at small cost, a distinctive one among them.
+    All tokens of weight are aligned at small cost, a distinctive one among them. Two names of generic tokens alone need closer agreement.
     """
-    if not a or not b or max(len(a), len(b)) > MAX_TOKENS:
-        return 2 * (sorted(a) == sorted(b) and bool(a))
+    if not a or not b:
+        return 0
     common = Counter(t for t in a if len(t) > 1) & Counter(t for t in b if len(t) > 1)
     ra, rb = list((Counter(a) - common).elements()), list((Counter(b) - common).elements())
     anchored = any(t not in generic and len(t) > 3 for t in common)
     aligned, total, sure = sum(common.values()), 0.0, 2
     if ra or rb:
-        if abs(len(ra) - len(rb)) > 3:
+        if LEAST * max(len(ra), len(rb)) > MOST:
             return 0
         # square matrix: rows are a's tokens and empty places, columns b's
         n, m = len(ra), len(rb)
@@ -212,15 +220,21 @@ def alignment(a: list[str], b: list[str], generic: frozenset[str]) -> int:
                 anchored |= min(len(ra[i]), len(rb[j])) > 3 and not (ra[i] in generic and rb[j] in generic)
                 if (len(ra[i]) == 1) != (len(rb[j]) == 1):
                     sure = 1
-    return sure if anchored and aligned >= min(2, len(a), len(b)) and total <= 2.6 else 0
+    if not anchored and all(t in generic or len(t) < 4 for t in (*a, *b)):
+        return sure if sure == 2 and aligned >= 2 and total <= 0.4 * aligned else 0
+    return sure if anchored and aligned >= min(2, len(a), len(b)) and total <= MOST else 0
 
 
 def deletes(token: Column, twice_from: int = 8, once_from: int = 4) -> Column:
-    """The token and what is left of it after one deletion (from 4 letters on) or two (from 8 on)."""
+    """The token and what is left of it after one deletion (from 4 letters on) or two (from 8 on); of more than LONG letters, its ends."""
     one = lambda t: F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))
-    d1 = F.when(F.length(token) >= once_from, one(token)).otherwise(F.array().cast("array<string>"))
-    d2 = F.when(F.length(token) >= twice_from, F.flatten(F.transform(one(token), one))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(F.array(token), d1, d2))
+    none = F.array().cast("array<string>")
+    long = F.length(token) > LONG
+    d1 = F.when(~long & (F.length(token) >= once_from), one(token)).otherwise(none)
+    d2 = F.when(~long & (F.length(token) >= twice_from), F.flatten(F.transform(one(token), one))).otherwise(none)
+    # a word just beyond LONG may be a slip of one just below
+    ends = F.when(F.length(token) > LONG - 2, F.array(F.concat(F.lit("<"), F.left(token, F.lit(LONG // 3))), F.concat(F.lit(">"), F.right(token, F.lit(LONG // 3))))).otherwise(none)
+    return F.array_distinct(F.concat(F.array(token), d1, d2, ends))
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -260,11 +274,17 @@ def _aligned(a: pd.Series, b: pd.Series) -> pd.Series:
 _aligned = _aligned.asNondeterministic()
 
 
-def vocabulary(texts: DataFrame, group: str, generic_groups: int = GENERIC_GROUPS) -> DataFrame:
+def generic_from(groups: int) -> int:
+    """In how many of the groups a token must occur to be generic."""
+    return max(3, math.ceil(GENERIC_SHARE * groups))
+
+
+def vocabulary(texts: DataFrame, group: str) -> DataFrame:
     """field, group, token, n (texts of the group), total, groups, generic; from field, group, text, tokens."""
     local = texts.select("field", group, F.explode(F.array_distinct("tokens")).alias("token")).groupBy("field", group, "token").agg(F.count("*").alias("n"))
     over = local.groupBy("field", "token").agg(F.sum("n").alias("total"), F.count("*").alias("groups"))
-    return local.join(over, ["field", "token"]).withColumn("generic", F.col("groups") >= generic_groups)
+    fields = local.select("field", group).distinct().groupBy("field").agg(F.greatest(F.lit(3), F.ceil(F.count("*") * GENERIC_SHARE)).alias("_from"))
+    return local.join(over, ["field", "token"]).join(fields, "field").withColumn("generic", F.col("groups") >= F.col("_from")).drop("_from")
 
 
 def spellings(vocab: DataFrame, group: str, dominance: int = DOMINANCE) -> DataFrame:
@@ -273,10 +293,10 @@ def spellings(vocab: DataFrame, group: str, dominance: int = DOMINANCE) -> DataF
     Against words used everywhere by their total counts, else against the words of the same group. A slip that could be
     of several words used everywhere comes out as its own canon: it is no generic word, however often it occurs.
     """
-    words = vocab.where("token rlike '^[^0-9]{3,40}$'")
+    words = vocab.where("token rlike '^[^0-9]{3,}$'")
     over = words.select("field", "token", "total", "groups", "generic").distinct()
     # one slip here: words used everywhere are few, and two slips in one of them are left to the alignment
-    hashed = lambda c: F.explode(F.transform(deletes(F.col(c), twice_from=1 << 20), lambda k: F.xxhash64("field", k))).alias("key")
+    hashed = lambda c: F.explode(F.transform(deletes(F.col(c)), lambda k: F.xxhash64("field", k))).alias("key")
     left = over.select("field", F.col("token"), F.col("total"), hashed("token"))
     right = over.where("generic").select(F.col("field").alias("_f"), F.col("token").alias("canon"), F.col("total").alias("ctotal"), hashed("token"))
     slips = left.join(right, "key").where((F.col("field") == F.col("_f")) & (F.col("ctotal") >= F.col("total") * 2 * dominance) & (F.col("token") != F.col("canon"))).select("field", "token", "canon", "ctotal").distinct().where(_near("token", "canon"))
@@ -292,41 +312,60 @@ def spellings(vocab: DataFrame, group: str, dominance: int = DOMINANCE) -> DataF
     return wide.unionByName(local)
 
 
-def link_variants(names: DataFrame, group: str = "subject", generic_groups: int = GENERIC_GROUPS) -> DataFrame:
+def neighbours(tokens: DataFrame, group: str) -> DataFrame:
+    """tid, near: hashed tokens of one group and field that are one slip apart, or two (from eight letters on), each pair in one direction."""
+    key = F.explode(F.transform(deletes(F.col("token")), lambda k: F.xxhash64("field", group, k))).alias("key")
+    own = tokens.select("tid", "field", group, "token", key)
+    other = own.select("key", F.col("tid").alias("near"), F.col("field").alias("_f"), F.col(group).alias("_g"), F.col("token").alias("other"))
+    met = own.join(other, "key").where((F.col("tid") < F.col("near")) & (F.abs(F.length("token") - F.length("other")) <= 2) & (F.col("field") == F.col("_f")) & (F.col(group) == F.col("_g")))
+    return met.select("tid", "near", "token", "other").distinct().where(_near("token", "other")).select("tid", "near")
+
+
+def candidates(forms: DataFrame, group: str) -> DataFrame:
+    """a, b (a < b): ids of distinct forms (id, field, group, own, sign) that share a distinctive token or two neighbouring ones, or, without any, first letters."""
+    postings = checkpointed(forms.select("id", "field", group, F.explode("own").alias("token")).select("id", "field", group, "token", F.xxhash64("field", group, "token").alias("tid")))
+    near = neighbours(postings.select("tid", "field", group, "token").distinct(), group)
+    at = postings.select("tid", F.col("id").alias("a"))
+    visits = at.join(near, "tid").select(F.col("near").alias("tid"), F.col("a").alias("b"))
+    met = at.join(at.select("tid", F.col("a").alias("b")), "tid").where("a < b").select("a", "b").unionByName(at.join(visits, "tid").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    # forms of generic tokens alone: by the first letters of their tokens, one of them left out or none
+    letters = lambda keep: F.xxhash64("field", group, F.array_join(keep, ""))
+    less = F.transform(F.sequence(F.lit(1), F.size("sign")), lambda i: letters(F.concat(F.slice("sign", F.lit(1), i - 1), F.slice("sign", i + 1, F.size("sign")))))
+    plain = forms.where("size(own) = 0 and size(sign) > 0").select("id", F.explode(F.array_distinct(F.concat(F.array(letters(F.col("sign"))), less))).alias("key"))
+    signs = plain.select("key", F.col("id").alias("a")).join(plain.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b")
+    return met.unionByName(signs).distinct()
+
+
+def link_variants(names: DataFrame, group: str = "subject") -> DataFrame:
     """group, field, text_a, text_b (a < b): pairs of different texts of one group and field that name one entity.
 
     ``names`` has the columns group, field, text; repeated rows count once.
     """
-    given = names.where(F.col("text").isNotNull() & (F.trim("text") != "")).select(group, "field", "text").distinct()
+    given = names.where(F.col("text").isNotNull() & (F.trim("text") != "") & F.col(group).isNotNull() & F.col("field").isNotNull()).select(group, "field", "text").distinct()
     texts = checkpointed(given.withColumn("tokens", _tokens("text")).where(F.size("tokens") > 0))
-    vocab = checkpointed(vocabulary(texts, group, generic_groups))
+    vocab = checkpointed(vocabulary(texts, group))
     canon = checkpointed(spellings(vocab, group))
     # the form of a text: its tokens, slips mended, generic ones marked, in alphabetical order
     slips = canon.where("canon = token").select("field", group, "token", F.lit(True).alias("slip"))
-    kinds = vocab.join(slips, ["field", group, "token"], "left").select("field", group, F.col("token").alias("mended"), (F.col("generic") & F.col("slip").isNull()).alias("generic"), "total", (F.col("n") < SETTLED).alias("deep"))
+    kinds = vocab.join(slips, ["field", group, "token"], "left").select("field", group, F.col("token").alias("mended"), (F.col("generic") & F.col("slip").isNull()).alias("generic"))
     flat = texts.select(group, "field", "text", F.explode("tokens").alias("token")).join(canon, ["field", group, "token"], "left").select(group, "field", "text", F.coalesce("canon", "token").alias("mended"))
-    known = flat.join(kinds, ["field", group, "mended"], "left").select(group, "field", "text", "mended", F.coalesce("generic", F.lit(True)).alias("generic"), F.coalesce("total", F.lit(1 << 60)).alias("total"), F.coalesce("deep", F.lit(True)).alias("deep"))
-    per = known.groupBy(group, "field", "text").agg(F.sort_array(F.collect_list(F.struct(F.when(F.col("generic"), F.concat(F.lit(_COMMON), "mended")).otherwise(F.col("mended")).alias("m"), "mended", "generic", "total", "deep"))).alias("t"))
-    own = F.filter("t", lambda x: ~x["generic"] & (F.length(x["mended"]) > 3))
-    rarest = F.slice(F.array_sort(F.transform("t", lambda x: F.struct(x["total"].alias("total"), x["mended"].alias("mended")))), 1, 2)
-    # spellings that are settled in their group have had their slips mended; the others may be two slips apart
-    key = lambda word, deep: F.struct(word.alias("word"), deep.alias("deep"))
-    keys = F.when(F.size(own) > 0, F.transform(own, lambda x: key(x["mended"], x["deep"]))).otherwise(F.transform(rarest, lambda x: key(x["mended"], F.lit(False))))
-    forms = checkpointed(per.select(group, "field", "text", F.array_join("t.m", " ").alias("form"), F.array_distinct(keys).alias("keys")))
-    distinct_forms = forms.groupBy(group, "field", "form").agg(F.first("keys").alias("keys"))
-    shared = F.array_distinct(F.flatten(F.transform("keys", lambda x: F.when(x["deep"], deletes(x["word"])).otherwise(deletes(x["word"], twice_from=1 << 20)))))
-    index = distinct_forms.select(group, "field", "form", F.explode(F.transform(shared, lambda k: F.xxhash64(group, "field", k))).alias("key"))
-    a = index.select("key", group, "field", F.col("form").alias("form_a"))
-    b = index.select("key", F.col(group).alias("_g"), F.col("field").alias("_f"), F.col("form").alias("form_b"))
-    pairs = a.join(b, "key").where((F.col("form_a") < F.col("form_b")) & (F.col(group) == F.col("_g")) & (F.col("field") == F.col("_f"))).select(group, "field", "form_a", "form_b").distinct()
-    direct = checkpointed(pairs.select(group, "field", "form_a", "form_b", _aligned("form_a", "form_b").alias("sure")).where("sure > 0"))
+    known = flat.join(kinds, ["field", group, "mended"], "left").select(group, "field", "text", F.when(F.coalesce("generic", F.lit(True)), F.concat(F.lit(_COMMON), "mended")).otherwise(F.col("mended")).alias("m"))
+    per = known.groupBy(group, "field", "text").agg(F.array_join(F.sort_array(F.collect_list("m")), " ").alias("form"))
+    members = checkpointed(per.select(F.xxhash64(group, "field", "form").alias("id"), group, "field", "text", "form"))
+    forms = checkpointed(members.select("id", group, "field", "form").distinct())
+    marked = forms.select("id", group, "field", F.split("form", " ").alias("t"))
+    own = F.array_distinct(F.filter("t", lambda x: ~x.startswith(_COMMON) & (F.length(x) > 3)))
+    sign = F.array_sort(F.transform(F.filter("t", lambda x: F.length(F.ltrim(x, F.lit(_COMMON))) > 1), lambda x: F.left(F.ltrim(x, F.lit(_COMMON)), F.lit(1))))
+    pairs = candidates(marked.select("id", group, "field", own.alias("own"), sign.alias("sign")), group)
+    side = lambda n: forms.select(F.col("id").alias(n), F.col("form").alias(f"form_{n}"), F.struct(group, "field").alias(f"of_{n}"))
+    read = pairs.join(side("a"), "a").join(side("b"), "b").where("of_a = of_b")
+    direct = checkpointed(read.select("a", "b", _aligned("form_a", "form_b").alias("sure")).where("sure > 0"))
     # two forms that are both surely a third one are the same: that reaches slips on either side of the right spelling
     sure = direct.where("sure = 2")
-    both = sure.select(group, "field", "form_a", "form_b").unionByName(sure.select(group, "field", F.col("form_b").alias("form_a"), F.col("form_a").alias("form_b")))
-    over = both.join(both.select(group, "field", F.col("form_b").alias("form_c"), F.col("form_a").alias("form_b")), [group, "field", "form_b"]).where("form_a < form_c")
-    links = direct.select(group, "field", "form_a", "form_b").unionByName(over.select(group, "field", "form_a", F.col("form_c").alias("form_b"))).distinct()
-    left = forms.select(group, "field", F.col("form").alias("form_a"), F.col("text").alias("x"))
-    right = forms.select(group, "field", F.col("form").alias("form_b"), F.col("text").alias("y"))
-    across = links.join(left, [group, "field", "form_a"]).join(right, [group, "field", "form_b"]).select(group, "field", "x", "y")
-    within = left.join(right.withColumnRenamed("form_b", "form_a"), [group, "field", "form_a"]).where("x < y").select(group, "field", "x", "y")
+    both = sure.select("a", "b").unionByName(sure.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    over = both.join(both.select(F.col("b").alias("c"), F.col("a").alias("b")), "b").where("a < c").select("a", F.col("c").alias("b"))
+    links = direct.select("a", "b").unionByName(over).distinct()
+    left, right = (members.select(F.col("id").alias(n), group, "field", F.col("text").alias(t)) for n, t in (("a", "x"), ("b", "y")))
+    across = links.join(left, "a").join(right.select("b", "y"), "b").select(group, "field", "x", "y")
+    within = left.join(right.select(F.col("b").alias("a"), "y"), "a").where("x < y").select(group, "field", "x", "y")
     return across.unionByName(within).select(group, "field", F.least("x", "y").alias("text_a"), F.greatest("x", "y").alias("text_b"))

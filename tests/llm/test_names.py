@@ -85,10 +85,50 @@ def test_against_all_pairs(spark, data):
             tokens.setdefault((r["field"], t), set()).add(r["subject"])
     slow = set()
     for (subject, field), texts in groups.items():
-        generic = frozenset(t for (f, t), s in tokens.items() if f == field and len(s) >= n.GENERIC_GROUPS)
+        generic = frozenset(t for (f, t), s in tokens.items() if f == field and len(s) >= n.generic_from(len({g for g, x in groups if x == field})))
         for a, b in combinations(sorted(texts), 2):
             if n.alignment(sorted(n.tokens_of(a)), sorted(n.tokens_of(b)), generic):
                 slow.add((subject, field, a, b))
     assert len(slow) > 100
     assert len(slow & got) >= 0.99 * len(slow)
     assert len(got - slow) <= 0.1 * len(got)
+
+
+def pairs_of(spark, rows):
+    df = spark.createDataFrame(rows, "subject string, field string, text string")
+    return {(r["subject"], r["text_a"], r["text_b"]) for r in n.link_variants(df).collect()}
+
+
+def test_names_of_any_number_of_tokens():
+    long = [f"word{chr(97 + i)}{chr(97 + i)}" for i in range(26)]
+    for size in (21, 26):
+        a, b = long[:size], [long[0] + "x", *long[1:size]]
+        assert n.alignment(sorted(a), sorted(b), frozenset()) and not n.alignment(sorted(a), sorted([*b[:-1], "elsewhere"]), frozenset())
+    many = [f"w{i:04d}x" for i in range(3000)]
+    assert not n.alignment(many, [t + "q" for t in many], frozenset())  # beyond what a pair may cost
+
+
+def test_names_of_generic_tokens_alone(spark):
+    plain = ("Ministry of Agriculture", "Min. of Agric.", "Ministry of Water", "Agriculture Ministry", "Bank of Agriculture")
+    rows = [(f"S{i}", "lead", t) for i in range(12) for t in plain]
+    got = pairs_of(spark, rows)
+    same = {(a, b) for s, a, b in got if s == "S3"}
+    assert same == {("Agriculture Ministry", "Min. of Agric."), ("Agriculture Ministry", "Ministry of Agriculture"), ("Min. of Agric.", "Ministry of Agriculture")}
+    assert len(got) == 12 * 3
+
+
+def test_links_do_not_depend_on_how_often_a_spelling_occurs_or_how_many_subjects_there_are(spark):
+    few = [("X", "lead", t) for t in ("Kongorkonar Water Bank", "Kongrkonra Water Bank", "Zegitafengo Water Bank")]
+    many = few + [("X", "lead", f"Kongorkonar {w}") for w in ("Water Bank Ltd", "Soil Board", "Seed Union", "Mill Office", "Port Trust", "Rice Fund", "Map House", "Road Works", "Tax Agency", "Fish Market")]
+    # a word of two subjects in twenty-five is still a word of its own
+    spread = few + [(f"Y{i}", "lead", f"Kongorkonar {i} Water Bank" if i < 1 else f"Body{chr(97 + i)}{chr(97 + i)} Water Bank") for i in range(24)]
+    for rows in (few, many, spread):
+        assert ("X", "Kongorkonar Water Bank", "Kongrkonra Water Bank") in pairs_of(spark, rows)
+    assert not any("Zegitafengo" in a + b for _, a, b in pairs_of(spark, many))
+
+
+def test_long_words(spark):
+    word = "llanfairpwllgwyngyllgogerychwyrndrobwllllantysiliogogogoch"
+    slip = word[:30] + word[31:]
+    assert len(word) > n.LONG
+    assert ("X", f"{slip} Council", f"{word} Council") in pairs_of(spark, [("X", "lead", f"{word} Council"), ("X", "lead", f"{slip} Council"), ("X", "lead", "w" * 5000)])
