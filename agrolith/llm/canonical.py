@@ -1,24 +1,29 @@
 """Free-entered values mapped to a canonical list: a partition-based pigeonhole join, in SQL only.
 
-Every reference string, with its turned and abbreviated forms, is cut into k + 1 segments; a typed string within k edits of it
-contains one of them unchanged, at a position the pigeonhole argument narrows down (multi-match-aware windows). Segments and
-substrings meet in an equality join on (length, segment, text), candidates are verified by the built-in levenshtein, and what
-finds no partner is reported through an anti-join.
+A typed string of n letters may differ from an entry by k = min(4, n / 4) edits. For each k that typed strings near its length have, a
+reference string is cut into k + 1 segments; a typed string within k edits of it contains one of them unchanged, at a position the
+pigeonhole argument narrows down (multi-match-aware windows). Segments and substrings meet in an equality join on (length, k,
+segment, text), candidates are verified by the built-in levenshtein, and what finds no partner is reported through an anti-join.
+So short strings are cut into few and long segments, and short entries take part.
+
+Entries enter as written and with all their words in the short form, both in all turns (last word first and so on); a typed string
+enters as written, with its short forms written out, and with all words in the short form. That is linear in the number of words.
 
 Each distinct text is mapped once, whatever its number of rows. Defined results: null and blank values give no row; a value
 that fits nothing gets 0; of several entries at the same distance the one of the tier that the text names wins, then the
-lowest id; the allowed distance is a quarter of the text's length, at most k. Texts far longer than every reference string find no partner.
+lowest id. Texts far longer than every reference string find no partner. A tier without words takes no part in the join: it means
+the entry of its tier that is called unspecified.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agrolith.session import checkpointed
 
-#: Edits that the join finds.
-K = 4
+#: Most edits of one string, and the letters that each of them takes.
+K, LETTERS = 4, 4
 
 #: Short forms of words in names of sources. Apostrophes and full stops are dropped before comparing.
 SHORT_FORMS = {
@@ -56,44 +61,53 @@ def read_tier(values: DataFrame, column: str = "tier") -> DataFrame:
     return t.select("text", "tier_no", bare(F.regexp_replace(F.trim("t"), _OPENERS, "")).alias("words"), bare(F.trim("t")).alias("all_words"))
 
 
+def _mapped(words: Column, table: dict[str, str]) -> Column:
+    """An array of words, each replaced by what the table has for it."""
+    literal = F.create_map(*[F.lit(x) for pair in sorted(table.items()) for x in pair])
+    return F.transform(words, lambda w: F.coalesce(F.try_element_at(literal, w), w))
+
+
+def _written_out(last: bool) -> dict[str, str]:
+    """The word that a short form stands for, the first or the last of several."""
+    return dict(sorted(((s, w) for w, s in SHORT_FORMS.items()), reverse=not last))
+
+
 def reference_forms(reference: DataFrame, key: str, label: str) -> DataFrame:
-    """key, form: every label as written, with each of its words shortened or not, in all turns (last word first and so on)."""
-    spark = reference.sparkSession
-    short = spark.createDataFrame(sorted(SHORT_FORMS.items()), "word string, short string")
+    """key, form: every label as written and with its words in the short form, in all turns."""
     base = reference.select(F.col(key).alias("ref_id"), F.trim(F.regexp_replace(F.translate(plain_text(F.col(label)), "'", ""), r"[^\p{L}\p{N}]+", " ")).alias("form")).where("form <> ''")
-    words = base.select("ref_id", F.posexplode(F.split("form", " ")).alias("pos", "word")).join(F.broadcast(short), "word", "left")
-    options = words.groupBy("ref_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.array_compact(F.array("word", "short")).alias("o")))), lambda x: x["o"]).alias("o"))
-    # all combinations, word by word; lists of words stay lists, so that they can be turned
-    one = F.transform(F.element_at("o", 1), lambda w: F.array(w))
-    forms = options.select("ref_id", F.aggregate(F.slice("o", 2, 64), one, lambda acc, ws: F.flatten(F.transform(acc, lambda a: F.transform(ws, lambda w: F.concat(a, F.array(w)))))).alias("forms"))
-    flat = forms.select("ref_id", F.explode("forms").alias("w"))
-    turned = flat.select("ref_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.concat(F.slice("w", i + 1, F.greatest(F.size("w") - i, F.lit(1))), F.slice("w", 1, i)))).alias("w"))
+    words = base.select("ref_id", F.split("form", " ").alias("w"))
+    both = words.select("ref_id", F.explode(F.array(F.col("w"), _mapped(F.col("w"), SHORT_FORMS))).alias("w"))
+    turned = both.select("ref_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.concat(F.slice("w", i + 1, F.greatest(F.size("w") - i, F.lit(1))), F.slice("w", 1, i)))).alias("w"))
     return turned.select("ref_id", F.array_join("w", " ").alias("form")).distinct()
 
 
+def typed_forms(words: Column) -> Column:
+    """A typed string as written, with short forms written out (the first and the last meaning), and with all words short."""
+    w = F.split(words, " ")
+    return F.array_distinct(F.array(words, *[F.array_join(_mapped(w, t), " ") for t in (_written_out(False), _written_out(True), SHORT_FORMS)]))
+
+
 def pigeonhole_join(typed: DataFrame, forms: DataFrame, k: int = K) -> DataFrame:
-    """words, ref_id, distance: pairs of typed strings and reference forms within min(k, a quarter of the length) edits."""
-    n = k + 1
+    """words, ref_id, distance: pairs of typed strings and reference forms within min(k, a quarter of the typed length) edits."""
+    # segment i (from 0) of a string of len letters cut into n: the last len % n ones have a letter more
+    cut = "1 + i * (len div n) + greatest(0, i - (n - len % n)) AS at, (len div n) + if(i >= n - len % n, 1, 0) AS size"
+    allowed = f"least({k}, w div {LETTERS})"
     return typed.sparkSession.sql(f"""
-      WITH refs AS (SELECT ref_id, form, length(form) AS len FROM {{forms}} WHERE length(form) >= {n}),
-      segments AS (
-        SELECT ref_id, form, len, i, 1 + i * (len div {n}) + greatest(0, i - ({n} - len % {n})) AS at, (len div {n}) + if(i >= {n} - len % {n}, 1, 0) AS size
-        FROM refs LATERAL VIEW explode(sequence(0, {k})) AS i),
-      index AS (SELECT ref_id, form, len, i, substring(form, at, size) AS seg FROM segments),
-      lengths AS (SELECT DISTINCT len FROM refs),
-      shapes AS (SELECT len, i, 1 + i * (len div {n}) + greatest(0, i - ({n} - len % {n})) AS at, (len div {n}) + if(i >= {n} - len % {n}, 1, 0) AS size FROM lengths LATERAL VIEW explode(sequence(0, {k})) AS i),
-      strings AS (SELECT words, length(words) AS wlen, explode(sequence(length(words) - {k}, length(words) + {k})) AS len FROM {{typed}}),
-      near AS (SELECT words, wlen, s.* FROM strings JOIN shapes s ON s.len = strings.len),
+      WITH refs AS (SELECT ref_id, form, length(form) AS len FROM {{forms}}),
+      lengths AS (SELECT len, explode(array_distinct(transform(filter(sequence(len - {k}, len + {k}), w -> w > 0 AND abs(w - len) <= {allowed}), w -> {allowed}))) AS k FROM (SELECT DISTINCT len FROM refs)),
+      shapes AS (SELECT len, k, i, {cut} FROM (SELECT len, k, k + 1 AS n, explode(sequence(0, k)) AS i FROM lengths)),
+      index AS (SELECT ref_id, form, s.len, s.k, s.i, substring(form, at, size) AS seg FROM refs JOIN shapes s ON refs.len = s.len),
+      strings AS (SELECT words, w AS wlen, {allowed} AS k, explode(sequence(w - {allowed}, w + {allowed})) AS len FROM (SELECT words, length(words) AS w FROM {{typed}}) WHERE w > 0),
       windows AS (
-        SELECT words, wlen, len, i, size, explode(sequence(
-          greatest(1, at - i, at + (wlen - len) - ({k} - i)), least(wlen - size + 1, at + i, at + (wlen - len) + ({k} - i)))) AS p
-        FROM near
-        WHERE greatest(1, at - i, at + (wlen - len) - ({k} - i)) <= least(wlen - size + 1, at + i, at + (wlen - len) + ({k} - i))),
-      pieces AS (SELECT DISTINCT words, len, i, substring(words, p, size) AS seg FROM windows),
-      candidates AS (SELECT DISTINCT p.words, x.ref_id, x.form FROM pieces p JOIN index x ON p.len = x.len AND p.i = x.i AND p.seg = x.seg)
+        SELECT words, s.len, s.k, i, size, explode(sequence(
+          greatest(1, at - i, at + (wlen - s.len) - (s.k - i)), least(wlen - size + 1, at + i, at + (wlen - s.len) + (s.k - i)))) AS p
+        FROM strings JOIN shapes s ON s.len = strings.len AND s.k = strings.k
+        WHERE greatest(1, at - i, at + (wlen - s.len) - (s.k - i)) <= least(wlen - size + 1, at + i, at + (wlen - s.len) + (s.k - i))),
+      pieces AS (SELECT DISTINCT words, len, k, i, substring(words, p, size) AS seg FROM windows),
+      candidates AS (SELECT DISTINCT p.words, p.k, x.ref_id, x.form FROM pieces p JOIN index x ON p.len = x.len AND p.k = x.k AND p.i = x.i AND p.seg = x.seg)
       SELECT words, ref_id, min(distance) AS distance
-      FROM (SELECT words, ref_id, levenshtein(words, form, {k}) AS distance FROM candidates)
-      WHERE distance BETWEEN 0 AND least({k}, length(words) div 4) GROUP BY words, ref_id
+      FROM (SELECT words, ref_id, k, levenshtein(words, form, {k}) AS distance FROM candidates)
+      WHERE distance BETWEEN 0 AND k GROUP BY words, ref_id
     """, typed=typed, forms=forms)
 
 
@@ -105,7 +119,7 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, key: str =
     bare = texts.where("words rlike '^(unspecified|unknown|not specified)?$' and tier_no is not null")
     by_tier = bare.join(groups.where("label like '%unspecified%'"), F.col("tier_no") == F.col("group_no")).select("text", "ref_id")
     # an opening word may also be a slip of a name's first word, so that both readings are looked up
-    worded = texts.where("words <> ''").select("text", "tier_no", F.explode(F.array_distinct(F.array("words", "all_words"))).alias("words"))
+    worded = texts.where("words <> ''").select("text", "tier_no", F.explode(F.array_distinct(F.concat(typed_forms(F.col("words")), typed_forms(F.col("all_words"))))).alias("words"))
     forms = checkpointed(reference_forms(reference.where(~F.lower(label).contains("unspecified")), key, label))
     words = worded.select("words").distinct()
     exact = words.join(forms, words["words"] == forms["form"]).select("words", "ref_id", F.lit(0).alias("distance"))
@@ -115,3 +129,8 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, key: str =
     matched = by_tier.unionByName(best).groupBy("text").agg(F.min("ref_id").alias("ref_id"))
     unmatched = texts.select("text").join(matched, "text", "left_anti").select("text", F.lit(0).alias("ref_id"))
     return matched.unionByName(unmatched)
+
+
+def unmatched(values: DataFrame, column: str, mapped: DataFrame) -> DataFrame:
+    """column, rows: the texts that fit no entry, with the number of rows that have them; ``mapped`` is what :func:`map_values` gives."""
+    return values.groupBy(column).agg(F.count("*").alias("rows")).join(mapped.where("ref_id = 0").select(F.col("text").alias(column)), column)

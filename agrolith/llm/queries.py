@@ -15,6 +15,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.join(mapped.withColumnRenamed("text", "tier"), "tier").select("cell_id", "ref_id")
 
 
+def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed tiers that fit no entry, with the number of cells that have them."""
+    cells = once(table(spark, sf_dir, "research_cells"), "cell_id", "tier")
+    return canonical.unmatched(cells, "tier", canonical.map_values(cells, "tier", table(spark, sf_dir, "tier_reference")))
+
+
 def _typed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """subject, field, text of the leads and names of both copies of the register."""
     both = [table(spark, sf_dir, t).select("subject", F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in ("lead", "name")]))) for t in ("register_entries", "register_copy")]
@@ -55,7 +61,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.statistics(table(spark, sf_dir, "documents")).drop("_words")
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_quality": p10_quality, "p10_statistics": p10_statistics}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_quality": p10_quality, "p10_statistics": p10_statistics}
 _OUTER = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(8195) || chr(8201) || chr(8239) || chr(12288)"
 _DOUBLED = "[ÃÂâ][\\x{80}-\\x{bf}€™œž‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜š›Ÿ]"
 _COMMON = ", ".join(f"'{w}'" for w in sorted(quality.COMMON))  # the list of words is data of the definition, not logic

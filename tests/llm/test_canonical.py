@@ -29,11 +29,11 @@ def test_pigeonhole_join_against_all_pairs(spark, reference):
 
     def edited(s):
         for _ in range(random.randint(0, 5)):
-            i = random.randrange(len(s))
+            i = random.randrange(max(1, len(s)))
             s = random.choice([s[:i] + s[i + 1 :], s[:i] + random.choice("aeinrst ") + s[i:], s[:i] + random.choice("aeinrst ") + s[i + 1 :]])
         return s
 
-    forms = [(i, t.lower()) for i, _, t in LABELS]
+    forms = [(i, t.lower()) for i, _, t in LABELS] + [(100 + i, t) for i, t in enumerate(("oslo", "rome", "ro", "lagos", "cairo", "kigali", "nairobi", "new delhi", "abuja", "gao", "port louis", "addis abeba"))]
     words = list({edited(t) for _, t in forms for _ in range(60)})
     got = {(r["words"], r["ref_id"]): r["distance"] for r in c.pigeonhole_join(spark.createDataFrame([(w,) for w in words], "words string"), spark.createDataFrame(forms, "ref_id int, form string")).collect()}
 
@@ -49,6 +49,19 @@ def test_pigeonhole_join_against_all_pairs(spark, reference):
     assert got == want and len(want) > 100
 
 
+def test_labels_of_many_words_that_have_short_forms(spark):
+    words = sorted(c.SHORT_FORMS)
+    label = " ".join(words)  # forms in proportion to the words, not to all choices of them
+    reference = spark.createDataFrame([(1, "T1", label), (2, "T2", "Official ministry report")], "ref_id int, tier string, label string")
+    assert c.reference_forms(reference, "ref_id", "label").count() <= 2 * (len(words) + 3)
+    short = " ".join(c.SHORT_FORMS[w] for w in words)
+    cases = {label: 1, short: 1, short.replace("govt", "gov"): 1, label.replace("survey", "survye"): 1, "Off. min. reprot": 2, "offical Ministry rpt": 2, "rpt off min": 2, "min": 0}
+    df = spark.createDataFrame([(t,) for t in cases] + [("min",)], "tier string")
+    mapped = c.map_values(df, "tier", reference)
+    assert {r["text"]: r["ref_id"] for r in mapped.collect()} == cases
+    assert [tuple(r) for r in c.unmatched(df, "tier", mapped).collect()] == [("min", 2)]
+
+
 def test_every_cell_comes_out(spark, data):
     from agrolith.llm.queries import p4_found
     from agrolith.sources.tables import table
