@@ -3,9 +3,8 @@
 1. Texts become tokens: case, accents, punctuation, articles, titles and bracketed or leading acronyms go, joining words too.
 2. A symmetric-delete neighbourhood index over the vocabulary (not over the texts) finds small edit distances and maps rare
    spellings to the frequent one beside them, so that typos cost nothing further on: texts with the same tokens are one form.
-3. The same index over the distinctive tokens that are left finds those one or two slips apart; forms that share a distinctive token,
-   or have two such neighbours, are candidates. They meet by hashed token, as pairs of 64-bit ids, and only distinct pairs fetch
-   their forms.
+3. Forms that share a distinctive token, or have two that the index found to be neighbours, are candidates. They meet by hashed
+   token, as pairs of 64-bit ids, and only distinct pairs fetch their forms.
 4. Candidates are aligned by optimal assignment of their tokens, which permits initials, short forms, nicknames and small edits;
    every token of weight must find a partner.
 5. Linked forms, and forms surely linked to the same third one, are expanded to pairs of texts.
@@ -287,7 +286,18 @@ def vocabulary(texts: DataFrame, group: str) -> DataFrame:
     return local.join(over, ["field", "token"]).join(fields, "field").withColumn("generic", F.col("groups") >= F.col("_from")).drop("_from")
 
 
-def spellings(vocab: DataFrame, group: str, dominance: int = DOMINANCE) -> DataFrame:
+def neighbours(vocab: DataFrame, group: str) -> DataFrame:
+    """field, group, token, other, n, m: words of one group and field that are one slip apart, or two (from eight letters on), in both orders; generic ones aside."""
+    key = F.explode(F.transform(deletes(F.col("token")), lambda k: F.xxhash64("field", group, k))).alias("key")
+    own = vocab.where("not generic and length(token) > 2").select("field", group, "token", "n", key)
+    other = own.select("key", F.col("field").alias("_f"), F.col(group).alias("_g"), F.col("token").alias("other"), F.col("n").alias("m"))
+    met = own.join(other, "key").where((F.col("token") < F.col("other")) & (F.abs(F.length("token") - F.length("other")) <= 2) & (F.col("field") == F.col("_f")) & (F.col(group) == F.col("_g")))
+    near = met.select("field", group, "token", "other", "n", "m").distinct().where(_near("token", "other"))
+    turn = F.array(F.struct("token", "other", "n", "m"), F.struct(F.col("other").alias("token"), F.col("token").alias("other"), F.col("m").alias("n"), F.col("n").alias("m")))
+    return near.select("field", group, F.inline(turn))
+
+
+def spellings(vocab: DataFrame, near: DataFrame, group: str, dominance: int = DOMINANCE) -> DataFrame:
     """field, group, token, canon: rare spellings and the frequent one that each is a slip of.
 
     Against words used everywhere by their total counts, else against the words of the same group. A slip that could be
@@ -295,38 +305,24 @@ def spellings(vocab: DataFrame, group: str, dominance: int = DOMINANCE) -> DataF
     """
     words = vocab.where("token rlike '^[^0-9]{3,}$'")
     over = words.select("field", "token", "total", "groups", "generic").distinct()
-    # one slip here: words used everywhere are few, and two slips in one of them are left to the alignment
     hashed = lambda c: F.explode(F.transform(deletes(F.col(c)), lambda k: F.xxhash64("field", k))).alias("key")
     left = over.select("field", F.col("token"), F.col("total"), hashed("token"))
     right = over.where("generic").select(F.col("field").alias("_f"), F.col("token").alias("canon"), F.col("total").alias("ctotal"), hashed("token"))
     slips = left.join(right, "key").where((F.col("field") == F.col("_f")) & (F.col("ctotal") >= F.col("total") * 2 * dominance) & (F.col("token") != F.col("canon"))).select("field", "token", "canon", "ctotal").distinct().where(_near("token", "canon"))
     # a spelling of three letters, or near two such words, is left as it is for the alignment to decide; wide is null then
     common = checkpointed(slips.groupBy("field", "token").agg(F.when((F.count("*") == 1) & (F.length(F.min("token")) > 3), F.min("canon")).alias("wide")))
-    rest = words.where("not generic").join(common, ["field", "token"], "left_anti")
-    key = lambda c: F.explode(F.transform(deletes(F.col(c)), lambda k: F.xxhash64("field", group, k))).alias("key")
-    own = rest.select("field", group, "token", "n", key("token"))
-    other = rest.where(F.col("n") >= dominance).select(F.col("field").alias("_f"), F.col(group).alias("_g"), F.col("token").alias("canon"), F.col("n").alias("cn"), key("token"))
-    near = own.join(other, "key").where((F.col("field") == F.col("_f")) & (F.col(group) == F.col("_g")) & (F.col("cn") >= F.col("n") * dominance) & (F.col("token") != F.col("canon"))).select("field", group, "token", "canon", "cn").distinct().where(_near("token", "canon"))
-    local = near.groupBy("field", group, "token").agg(F.max_by("canon", F.struct("cn", "canon")).alias("canon"))
+    frequent = near.where((F.col("m") >= dominance) & (F.col("m") >= F.col("n") * dominance) & ~F.col("token").rlike("[0-9]") & ~F.col("other").rlike("[0-9]"))
+    free = frequent.join(common, ["field", "token"], "left_anti").join(common.select("field", F.col("token").alias("other")), ["field", "other"], "left_anti")
+    local = free.groupBy("field", group, "token").agg(F.max_by("other", F.struct("m", "other")).alias("canon"))
     wide = words.select("field", group, "token").join(common, ["field", "token"]).select("field", group, "token", F.coalesce("wide", "token").alias("canon"))
     return wide.unionByName(local)
 
 
-def neighbours(tokens: DataFrame, group: str) -> DataFrame:
-    """tid, near: hashed tokens of one group and field that are one slip apart, or two (from eight letters on), each pair in one direction."""
-    key = F.explode(F.transform(deletes(F.col("token")), lambda k: F.xxhash64("field", group, k))).alias("key")
-    own = tokens.select("tid", "field", group, "token", key)
-    other = own.select("key", F.col("tid").alias("near"), F.col("field").alias("_f"), F.col(group).alias("_g"), F.col("token").alias("other"))
-    met = own.join(other, "key").where((F.col("tid") < F.col("near")) & (F.abs(F.length("token") - F.length("other")) <= 2) & (F.col("field") == F.col("_f")) & (F.col(group) == F.col("_g")))
-    return met.select("tid", "near", "token", "other").distinct().where(_near("token", "other")).select("tid", "near")
-
-
-def candidates(forms: DataFrame, group: str) -> DataFrame:
+def candidates(forms: DataFrame, near: DataFrame, group: str) -> DataFrame:
     """a, b (a < b): ids of distinct forms (id, field, group, own, sign) that share a distinctive token or two neighbouring ones, or, without any, first letters."""
-    postings = checkpointed(forms.select("id", "field", group, F.explode("own").alias("token")).select("id", "field", group, "token", F.xxhash64("field", group, "token").alias("tid")))
-    near = neighbours(postings.select("tid", "field", group, "token").distinct(), group)
-    at = postings.select("tid", F.col("id").alias("a"))
-    visits = at.join(near, "tid").select(F.col("near").alias("tid"), F.col("a").alias("b"))
+    at = forms.select(F.col("id").alias("a"), F.explode(F.transform("own", lambda t: F.xxhash64("field", group, t))).alias("tid"))
+    beside = near.where("token < other").select(F.xxhash64("field", group, "token").alias("tid"), F.xxhash64("field", group, "other").alias("to"))
+    visits = at.join(beside, "tid").select(F.col("to").alias("tid"), F.col("a").alias("b"))
     met = at.join(at.select("tid", F.col("a").alias("b")), "tid").where("a < b").select("a", "b").unionByName(at.join(visits, "tid").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     # forms of generic tokens alone: by the first letters of their tokens, one of them left out or none
     letters = lambda keep: F.xxhash64("field", group, F.array_join(keep, ""))
@@ -344,7 +340,8 @@ def link_variants(names: DataFrame, group: str = "subject") -> DataFrame:
     given = names.where(F.col("text").isNotNull() & (F.trim("text") != "") & F.col(group).isNotNull() & F.col("field").isNotNull()).select(group, "field", "text").distinct()
     texts = checkpointed(given.withColumn("tokens", _tokens("text")).where(F.size("tokens") > 0))
     vocab = checkpointed(vocabulary(texts, group))
-    canon = checkpointed(spellings(vocab, group))
+    near = checkpointed(neighbours(vocab, group))
+    canon = checkpointed(spellings(vocab, near, group))
     # the form of a text: its tokens, slips mended, generic ones marked, in alphabetical order
     slips = canon.where("canon = token").select("field", group, "token", F.lit(True).alias("slip"))
     kinds = vocab.join(slips, ["field", group, "token"], "left").select("field", group, F.col("token").alias("mended"), (F.col("generic") & F.col("slip").isNull()).alias("generic"))
@@ -356,7 +353,7 @@ def link_variants(names: DataFrame, group: str = "subject") -> DataFrame:
     marked = forms.select("id", group, "field", F.split("form", " ").alias("t"))
     own = F.array_distinct(F.filter("t", lambda x: ~x.startswith(_COMMON) & (F.length(x) > 3)))
     sign = F.array_sort(F.transform(F.filter("t", lambda x: F.length(F.ltrim(x, F.lit(_COMMON))) > 1), lambda x: F.left(F.ltrim(x, F.lit(_COMMON)), F.lit(1))))
-    pairs = candidates(marked.select("id", group, "field", own.alias("own"), sign.alias("sign")), group)
+    pairs = candidates(marked.select("id", group, "field", own.alias("own"), sign.alias("sign")), near, group)
     side = lambda n: forms.select(F.col("id").alias(n), F.col("form").alias(f"form_{n}"), F.struct(group, "field").alias(f"of_{n}"))
     read = pairs.join(side("a"), "a").join(side("b"), "b").where("of_a = of_b")
     direct = checkpointed(read.select("a", "b", _aligned("form_a", "form_b").alias("sure")).where("sure > 0"))
