@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,7 +18,7 @@ def local_session(cores: str = "8", **conf: str) -> SparkSession:
     """A session for tests and the bench; on a cluster the caller brings its own."""
     base = {
         "spark.sql.shuffle.partitions": "8", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.driver.memory": "8g",
+        "spark.ui.showConsoleProgress": "false", "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.driver.memory": "8g", "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     spark = SparkSession.builder.master(f"local[{cores}]").config(map=base | conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -31,6 +32,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if known:
         return known
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not path and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all nodes share")
     sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="agrolith-checkpoint-"))
     return sc.getCheckpointDir()
 
@@ -51,15 +54,16 @@ def buckets_for(df: DataFrame, bytes_each: int = BUCKET_BYTES, least: int = 1) -
     return max(least, min(1 << 20, 3 * plan_bytes(df) // bytes_each + 1))
 
 
-#: Rows up to which a side that is already written (a checkpoint) is broadcast; such sides hold ids and names only.
-BROADCAST_ROWS = 500_000
+#: Rows, and bytes as JSON, up to which a side that is already written (a checkpoint) is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def broadcast_if_small(written: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A written frame with a broadcast hint if it has no more than ``most`` rows, else as it is: the join then shuffles."""
+    """A written frame with a broadcast hint if it has no more than ``most`` rows and BROADCAST_BYTES, else as it is: the join then shuffles."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(written) if written.count() <= most else written
+    rows, size = written.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    return F.broadcast(written) if rows <= most and size <= BROADCAST_BYTES else written
 
 
 def ship_package(spark: SparkSession) -> None:

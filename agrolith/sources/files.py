@@ -37,9 +37,17 @@ def read_assessments(spark: SparkSession, path: str) -> DataFrame:
 
 def missing_observations(observations: DataFrame, indicators: DataFrame) -> DataFrame:
     """subject, indicator_id of the catalog that a subject has no observation of."""
-    ids = indicators.select("indicator_id").distinct()
-    wanted = observations.select("subject").distinct().withColumn("k", F.lit(1)).join(ids.withColumn("k", F.lit(1)), "k").drop("k")
-    return wanted.join(observations.select("subject", "indicator_id"), ["subject", "indicator_id"], "left_anti")
+    ids = sorted(r[0] for r in indicators.select("indicator_id").distinct().collect())  # the catalog
+    have = observations.groupBy("subject").agg(F.collect_set("indicator_id").alias("have"))
+    return have.select("subject", F.explode(F.array_except(F.array(*map(F.lit, ids)), "have")).alias("indicator_id"))
+
+
+def complete_observations(observations: DataFrame, indicators: DataFrame) -> DataFrame:
+    """The observations, if no subject lacks an entry of the catalog; else an error that names some of what lacks."""
+    lost = missing_observations(observations, indicators).limit(5).collect()
+    if lost:
+        raise ValueError("no observation of " + ", ".join(f"{r['indicator_id']} for {r['subject']}" for r in lost))
+    return observations
 
 
 def read_statistics_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
