@@ -126,7 +126,8 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, key: str =
     fuzzy = pigeonhole_join(words.join(forms, words["words"] == forms["form"], "left_anti"), forms, k)
     scored = worded.join(exact.unionByName(fuzzy), "words").join(groups.select("ref_id", "group_no"), "ref_id")
     best = scored.groupBy("text").agg(F.min_by("ref_id", F.struct("distance", F.when(F.col("tier_no") == F.col("group_no"), 0).otherwise(1), "ref_id")).alias("ref_id"))
-    matched = by_tier.unionByName(best).groupBy("text").agg(F.min("ref_id").alias("ref_id"))
+    # written, as what fits and what doesn't both rest on it
+    matched = checkpointed(by_tier.unionByName(best).groupBy("text").agg(F.min("ref_id").alias("ref_id")))
     unmatched = texts.select("text").join(matched, "text", "left_anti").select("text", F.lit(0).alias("ref_id"))
     return matched.unionByName(unmatched)
 
