@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrolith.functions.text import guard_spreadsheet
+from agrolith.session import ensure_checkpoint_dir
 
 #: The columns that come first in an inventory, in this order.
 PREFERRED = ("table_name", "subject", "indicator_id", "name", "title", "url", "tier", "year")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/written/{name}-{uuid.uuid4().hex}"
+
+
 def inventory_columns(columns: list[str]) -> list[str]:
     """Preferred columns first, the rest by name."""
     return [c for c in PREFERRED if c in columns] + sorted(c for c in columns if c not in PREFERRED)
 
 
 def write_inventory(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV in stable column order; nested values as JSON; texts guarded."""
+    """CSV in stable column order; nested values as JSON; texts guarded, with their outer blanks."""
     kinds = dict(df.dtypes)
     cells = [guard_spreadsheet(F.col(c) if kinds[c] == "string" else F.to_json(F.col(c)) if kinds[c].startswith(("array", "struct", "map")) else F.col(c).cast("string")).alias(c) for c in inventory_columns(df.columns)]
-    df.select(*cells).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    df.select(*cells).write.mode(mode).option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_assembled(sections: dict[str, DataFrame], keys: list[str], path: str, mode: str = "errorifexists") -> None:

@@ -3,9 +3,9 @@
 import pytest
 from sqlcheck import same_as_sql
 
-from agrolith.plans import dealt, evidence, reports, rules, scoring, streams
+from agrolith.plans import audits, dealt, evidence, reports, rules, scoring, streams
 
-MODULES = (dealt, scoring, evidence, rules, reports, streams)
+MODULES = (dealt, scoring, evidence, rules, reports, audits, streams)
 CASES = [(m, n) for m in MODULES for n in m.QUERIES]
 
 
