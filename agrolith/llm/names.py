@@ -286,6 +286,12 @@ def vocabulary(texts: DataFrame, group: str) -> DataFrame:
     return local.join(over, ["field", "token"]).join(fields, "field").withColumn("generic", F.col("groups") >= F.col("_from")).drop("_from")
 
 
+def spread(written: DataFrame) -> DataFrame:
+    """A written frame over at least so many partitions as there are cores: each of its few rows is about to become many."""
+    n = written.sparkSession.sparkContext.defaultParallelism
+    return written if written._jdf.queryExecution().toRdd().getNumPartitions() >= n else written.repartition(n)
+
+
 def neighbours(vocab: DataFrame, group: str) -> DataFrame:
     """field, group, token, other, n, m: words of one group and field that are one slip apart, or two (from eight letters on), in both orders; generic ones aside."""
     key = F.explode(F.transform(deletes(F.col("token")), lambda k: F.xxhash64("field", group, k))).alias("key")
@@ -339,7 +345,7 @@ def link_variants(names: DataFrame, group: str = "subject") -> DataFrame:
     """
     given = names.where(F.col("text").isNotNull() & (F.trim("text") != "") & F.col(group).isNotNull() & F.col("field").isNotNull()).select(group, "field", "text").distinct()
     texts = checkpointed(given.withColumn("tokens", _tokens("text")).where(F.size("tokens") > 0))
-    vocab = checkpointed(vocabulary(texts, group))
+    vocab = spread(checkpointed(vocabulary(texts, group)))
     near = checkpointed(neighbours(vocab, group))
     canon = checkpointed(spellings(vocab, near, group))
     # the form of a text: its tokens, slips mended, generic ones marked, in alphabetical order
