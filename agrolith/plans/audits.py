@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from agrolith.functions import numbers as nm
 from agrolith.functions import text as tx
 from agrolith.operators import documents as dc
 from agrolith.operators import scoring as sc
@@ -122,6 +123,19 @@ def q_figure_fidelity(spark, d):
     return fixed.select("subject", "claimed", "supported", F.coalesce(F.round(F.col("supported") / F.when(F.col("claimed") > 0, F.col("claimed")), 4), F.lit(1.0)).alias("fidelity"))
 
 
+def q_quantity_mentions(spark, d):
+    """Every quantity in the documents: figures and number words with their dimension and place."""
+    m = table(spark, d, "documents").select("doc_id", F.explode(nm.quantities(F.col("text"))).alias("q"))
+    return m.select("doc_id", "q.*")
+
+
+def q_quantity_support(spark, d):
+    """Quantities in a cell's notes, and those that its value with its unit, or its year, supports."""
+    c = _cells(spark, d, "value", "value_unit", "year", "notes").where("notes is not null")
+    known = F.concat_ws("; ", F.concat_ws(" ", "value", "value_unit"), F.col("year").cast("string"))
+    return c.select("cell_id", nm.support_counts(F.col("notes"), known).alias("s")).select("cell_id", "s.claimed", "s.supported")
+
+
 def q_lane_gate(spark, d):
     """The first rule of the lane that a source breaks: it has a page, the page is read as of this subject, and it is no T5."""
     c = _cells(spark, d, "subject", "tier", "source_url")
