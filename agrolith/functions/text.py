@@ -250,20 +250,22 @@ def public_tier(source: Column, url: Column) -> Column:
 SPELLINGS = (("programme", "program"), ("labour", "labor"), ("centre", "center"), ("fertiliser", "fertilizer"), ("neighbour", "neighbor"), ("organis", "organiz"))
 
 
+_SPELT = re.compile("|".join(old for old, _ in SPELLINGS), re.I)
+
+
+def _other_spelling(m: re.Match) -> str:
+    new = dict(SPELLINGS)[m[0].lower()]
+    return new[0].upper() + new[1:] if m[0][0].isupper() else new
+
+
 def respelled(text: str | None) -> str | None:
-    """Rewrites spellings word by word, case kept, with URLs and names in capitals shielded."""
+    """Rewrites spellings word by word, case kept, with URLs and names in capitals left alone."""
     if text is None:
         return None
-    kept: list[str] = []
-
-    def shield(m: re.Match) -> str:
-        kept.append(m[0])
-        return f"\x00{len(kept) - 1}\x00"
-
-    t = re.sub(r"https?://\S+|\b[A-Z][A-Z0-9]{2,}\b", shield, text)
-    for old, new in SPELLINGS:
-        t = re.sub(old, lambda m, new=new: new[0].upper() + new[1:] if m[0][0].isupper() else new, t, flags=re.I)
-    return re.sub(r"\x00(\d+)\x00", lambda m: kept[int(m[1])], t)
+    # URLs and names in capitals are every second part
+    parts = re.split(r"(https?://\S+|\b[A-Z][A-Z0-9]{2,}\b)", text)
+    parts[::2] = [_SPELT.sub(_other_spelling, p) for p in parts[::2]]
+    return "".join(parts)
 
 
 def respell(c: Column) -> Column:

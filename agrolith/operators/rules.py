@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 Rule = tuple[Column, str]
+#: Values of the order that are numbered in one window.
+BLOCK = 100_000
 #: Verdicts from the worst to the best.
 VERDICTS = ("reject", "hold", "pass")
 
@@ -37,10 +39,17 @@ def predicate(tree: dict, facts: dict[str, Column]) -> Column:
 
 
 def prefix_agreement(left: DataFrame, right: DataFrame, keys: list[str], order: str, value: Column) -> DataFrame:
-    """keys, left_n, right_n, agreed: how far two ordered lists agree from their start, per key."""
+    """keys, left_n, right_n, agreed: how far two lists in the order of a number agree from their start, per key.
+
+    Places are counted within blocks of the order and set off by the blocks before, so that a key with most of the rows is spread.
+    """
 
     def numbered(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*keys, F.row_number().over(W.partitionBy(*keys).orderBy(order)).alias("pos"), value.alias(side))
+        rows = df.select(*keys, F.floor(F.col(order) / BLOCK).alias("_block"), F.col(order).alias("_order"), value.alias(side))
+        sizes = rows.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
+        before = sizes.select(*keys, "_block", F.coalesce(F.sum("_n").over(W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+        inner = F.row_number().over(W.partitionBy(*keys, "_block").orderBy("_order"))
+        return rows.withColumn("_no", inner).join(before, [*keys, "_block"]).select(*keys, (F.col("_no") + F.col("_off")).alias("pos"), side)
 
     both = numbered(left, "a").join(numbered(right, "b"), [*keys, "pos"], "full_outer")
     miss = F.min(F.when(~F.col("a").eqNullSafe(F.col("b")), F.col("pos")))

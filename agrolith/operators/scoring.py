@@ -139,6 +139,12 @@ def headline(profile: DataFrame) -> DataFrame:
     return rated.groupBy(*RUN).agg(F.max_by("pillar", F.struct("mean", -order)).alias("best"), F.min_by("pillar", F.struct("mean", order)).alias("worst"), F.max("mean").alias("best_mean"), F.min("mean").alias("worst_mean"))
 
 
+def transformed(kind: str, raw: Column, other: Column) -> Column:
+    """A raw figure by its transform: ``identity``, ``share`` (of per cent), ``price_share`` (a month's price in per cent of a twelfth of a yearly sum), ``excess`` (over the other figure, 0 at least)."""
+    a, b = raw.cast("double"), other.cast("double")
+    return {"identity": a, "share": a / 100, "price_share": a / (F.when(b != 0, b) / 12) * 100, "excess": F.when(a.isNotNull() & b.isNotNull(), F.greatest(a - b, F.lit(0.0)))}[kind]
+
+
 def natural_key(c: Column) -> list[Column]:
     """Sort keys that put 6.3 before 6.13, and ids without numbers last."""
     a, b = F.split(c, r"\.")[0].try_cast("int"), F.try_element_at(F.split(c, r"\."), F.lit(2)).try_cast("int")

@@ -22,6 +22,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return census_items.unionByName(register_items)
 
 
+def p1_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of the census fields alone, which are codes."""
+    return p1_found(spark, sf_dir).where("table_name = 'indicator_census'")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = once(table(spark, sf_dir, "research_cells"), "cell_id", "indicator_id", "value", "value_unit", "notes")
     indicators = table(spark, sf_dir, "indicators").where("unit is not null").select("indicator_id", F.col("unit").alias("default_unit"))
@@ -77,7 +82,7 @@ def p7_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.consistent_table(table(spark, sf_dir, "raw_records").select("feed", "file_no", "payload"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p6_by_month": p6_by_month, "p7_found": p7_found, "p7_table": p7_table}
+QUERIES = {"p1_found": p1_found, "p1_codes": p1_codes, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p6_by_month": p6_by_month, "p7_found": p7_found, "p7_table": p7_table}
 def _diff_sql(main: str, copy: str, key: str, fields: tuple[str, ...]) -> str:
     a, b = (f"(SELECT DISTINCT {key}, {', '.join(fields)} FROM {t})" for t in (main, copy))
     cells = " UNION ALL ".join(f"SELECT '{main}', a.{key}, 'differs', '{f}' FROM {a} a JOIN {b} b ON a.{key} = b.{key} WHERE a.{f} IS DISTINCT FROM b.{f}" for f in fields)
@@ -173,6 +178,8 @@ ORACLES = {
     "p5_found": _diff_sql("research_cells", "research_cells_copy", "cell_id", ("subject", "indicator_id", "value_type", "value", "year", "tier", "presence_rung", "quality_evidence"))
     + " UNION ALL " + _diff_sql("register_entries", "register_copy", "entry_id", ("run_id", "subject", "name", "lead", "uc", "status", "scale", "funding", "results", "results_tier", "overlap", "tier", "src", "src_url", "verification_note")),
     "p3_found": _quantity_sql(),
+    "p1_codes": " UNION ALL ".join(f"""SELECT 'indicator_census' AS table_name, '{f}' AS field, row_key, CAST(generate_subscripts(items, 1) AS INTEGER) AS pos, unnest(items) AS item FROM (
+      SELECT census_id AS row_key, list_filter(regexp_extract_all({f}, '[\\p{{L}}\\p{{N}}]([\\p{{L}}\\p{{N}}.-]*[\\p{{L}}\\p{{N}}])?'), lambda x: NOT regexp_full_match(x, '[a-z]+')) AS items FROM (SELECT DISTINCT census_id, {f} FROM indicator_census))""" for f in ("merged_into", "use_case_areas", "dar_steps_served")),
     "p6_found": _P6,
     "p7_found": _DRIFT_CHANGES,
     "p6_by_month": f"SELECT table_name, field, ym, state, count(*) AS orphans FROM ({_P6}) GROUP BY ALL",

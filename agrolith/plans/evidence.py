@@ -301,6 +301,10 @@ ORACLES = {
       n AS (SELECT record_id, ltrim(substr(t.fullkey, 2), '.') AS path, t.type, t.value::varchar AS value FROM v, json_tree(v.payload) t)
       SELECT path, CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS type, count(DISTINCT record_id) AS records
       FROM n WHERE type NOT IN ('ARRAY', 'OBJECT') OR value IN ('[]', '{}') GROUP BY ALL""",
+    "batch_greedy": """WITH RECURSIVE o AS (SELECT run_id, obs_id, size, row_number() OVER (PARTITION BY run_id ORDER BY obs_id, size) AS n FROM (SELECT DISTINCT run_id, obs_id, length(note) AS size FROM observations WHERE coalesce(note, '') <> '')),
+      b(run_id, n, obs_id, batch, used) AS (SELECT run_id, n, obs_id, 1, size FROM o WHERE n = 1
+        UNION ALL SELECT o.run_id, o.n, o.obs_id, CASE WHEN b.used + o.size <= 600 THEN b.batch ELSE b.batch + 1 END, CASE WHEN b.used + o.size <= 600 THEN b.used + o.size ELSE o.size END FROM b JOIN o ON o.run_id = b.run_id AND o.n = b.n + 1)
+      SELECT run_id, obs_id, batch FROM b""",
     "quota_rank": """WITH p AS (SELECT DISTINCT subject, indicator_id, tier, source_url AS url FROM research_cells WHERE regexp_matches(tier, '^T[1-5]$') AND source_url IS NOT NULL),
       r AS (SELECT *, row_number() OVER (PARTITION BY subject, indicator_id ORDER BY tier, url) AS rank, row_number() OVER (PARTITION BY subject, indicator_id, tier ORDER BY tier, url) > CASE tier WHEN 'T1' THEN 4 WHEN 'T5' THEN 1 ELSE 2 END AS backfill FROM p)
       SELECT * FROM (SELECT subject, indicator_id, tier, url, backfill, CAST(row_number() OVER (PARTITION BY subject, indicator_id ORDER BY backfill, rank) AS INTEGER) AS position FROM r) WHERE position <= 10""",

@@ -57,6 +57,13 @@ def q_transforms(spark, d):
     return r.select("obs_id", F.round(scaled, 6).alias("scaled"), same.alias("same"))
 
 
+def q_line_transforms(spark, d):
+    """The four transforms of raw figures on the lines of orders: as it is, per cent to a share, a monthly price against a twelfth of a yearly sum, a difference that is never negative."""
+    l = table(spark, d, "lineitem").join(table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice"), "l_orderkey")
+    kinds = {"identity": ("l_quantity", None), "share": ("l_quantity", None), "price_share": ("l_extendedprice", "o_totalprice"), "excess": ("l_quantity", "l_linenumber")}
+    return l.select("l_orderkey", "l_linenumber", *[F.round(sc.transformed(k, F.col(a), F.col(b) if b else F.lit(None)), 6).alias(k) for k, (a, b) in kinds.items()])
+
+
 def q_pillar_compare(spark, d):
     """Bands of each pillar against the subject's run before."""
     runs = table(spark, d, "observations").groupBy("run_id", "subject").agg(F.min("observed_at").alias("began"))
@@ -109,12 +116,13 @@ def q_evidence_pack(spark, d):
     """What a chapter on a use case may cite: indicators that bear on it, and those whose prerequisite names it."""
     i = table(spark, d, "indicators")
     bears = sc.bearing(i, table(spark, d, "use_cases")).withColumn("why", F.lit("bears"))
-    pre = i.where("prerequisite like 'UC:%'").select("indicator_id", F.explode(F.split(F.substring("prerequisite", 4, 1000), ",")).alias("use_case")).withColumn("why", F.lit("prerequisite"))
+    pre = i.where("prerequisite like 'UC:%'").select("indicator_id", F.explode(F.split(F.regexp_replace("prerequisite", "^UC:", ""), ",")).alias("use_case")).withColumn("why", F.lit("prerequisite"))
     return bears.unionByName(pre).groupBy("use_case", "indicator_id").agg(F.array_join(F.array_sort(F.collect_set("why")), "+").alias("why"))
 
 
 def q_respelled(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", tx.respell(F.col("title")).alias("title"))
+    """Titles and whole texts in the other spelling."""
+    return table(spark, d, "documents").select("doc_id", tx.respell(F.col("title")).alias("title"), tx.respell(F.col("text")).alias("text"))
 
 
 def q_figure_support(spark, d):
@@ -141,6 +149,7 @@ ORACLES = {
     "sub_readings": "SELECT sub, uses, name FROM (SELECT sub, count(*) AS uses FROM (SELECT DISTINCT obs_id, unnest(subs) AS sub FROM observations) GROUP BY sub) LEFT JOIN indicators ON indicator_id = sub",
     "public_tier": f"SELECT tier, suggested, count(*) AS n FROM (SELECT DISTINCT obs_id, tier, {_PUB} AS suggested FROM observations WHERE src IS NOT NULL) GROUP BY ALL",
     "transforms": _OBS + "SELECT obs_id, round((CASE WHEN unit = '%' THEN value_num / 100 ELSE value_num END)::varchar::decimal(38,20), 6)::double AS scaled, true AS same FROM s JOIN (SELECT indicator_id, unit FROM indicators) USING (indicator_id) WHERE cls = 'Measured' AND value_num IS NOT NULL",
+    "line_transforms": "SELECT l_orderkey, l_linenumber, " + ", ".join(f"round(({x})::varchar::decimal(38,20), 6)::double AS {k}" for k, x in (("identity", "l_quantity"), ("share", "l_quantity / 100"), ("price_share", "l_extendedprice / (nullif(o_totalprice, 0) / 12) * 100"), ("excess", "greatest(l_quantity - l_linenumber, 0)"))) + " FROM lineitem JOIN orders ON o_orderkey = l_orderkey",
     "pillar_compare": _PROFILE + """, r AS (SELECT run_id, subject, min(observed_at) AS began FROM observations GROUP BY ALL), pr AS (SELECT run_id, lag(run_id) OVER (PARTITION BY subject ORDER BY began, run_id) AS before FROM r)
       SELECT a.subject, a.run_id, a.pillar, b.band AS old_band, a.band, CASE WHEN a.mean > b.mean THEN 'up' WHEN a.mean < b.mean THEN 'down' WHEN a.mean IS NULL OR b.mean IS NULL THEN 'unknown' ELSE 'same' END AS move
       FROM pr JOIN profile a ON a.run_id = pr.run_id JOIN profile b ON b.run_id = pr.before AND b.pillar = a.pillar""",
