@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agrolith.session import checkpointed
+from agrolith.session import broadcast_if_small, checkpointed
 
 #: A token that occurs in such a share of the groups (subjects), and in three at least, says little about who is meant.
 GENERIC_SHARE = 0.1
@@ -314,7 +314,8 @@ def spellings(vocab: DataFrame, near: DataFrame, group: str, dominance: int = DO
     hashed = lambda c: F.explode(F.transform(deletes(F.col(c)), lambda k: F.xxhash64("field", k))).alias("key")
     left = over.select("field", F.col("token"), F.col("total"), hashed("token"))
     right = over.where("generic").select(F.col("field").alias("_f"), F.col("token").alias("canon"), F.col("total").alias("ctotal"), hashed("token"))
-    slips = left.join(right, "key").where((F.col("field") == F.col("_f")) & (F.col("ctotal") >= F.col("total") * 2 * dominance) & (F.col("token") != F.col("canon"))).select("field", "token", "canon", "ctotal").distinct().where(_near("token", "canon"))
+    # the generic words are few; if they prove so, the vocabulary isn't shuffled by its keys
+    slips = left.join(broadcast_if_small(checkpointed(right)), "key").where((F.col("field") == F.col("_f")) & (F.col("ctotal") >= F.col("total") * 2 * dominance) & (F.col("token") != F.col("canon"))).select("field", "token", "canon", "ctotal").distinct().where(_near("token", "canon"))
     # a spelling of three letters, or near two such words, is left as it is for the alignment to decide; wide is null then
     common = checkpointed(slips.groupBy("field", "token").agg(F.when((F.count("*") == 1) & (F.length(F.min("token")) > 3), F.min("canon")).alias("wide")))
     frequent = near.where((F.col("m") >= dominance) & (F.col("m") >= F.col("n") * dominance) & ~F.col("token").rlike("[0-9]") & ~F.col("other").rlike("[0-9]"))
