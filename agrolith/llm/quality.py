@@ -57,8 +57,7 @@ _ROW_TAG = re.compile(r"</?(?:tr|td|th|table|tbody|thead)\b", re.I)
 _EMPTYISH = re.compile(r"^(?:[-–—]|n/?a|null|none|nan|\.{2,}|\?|x|[+\-~<>≈]?[$€£]?\s*\d[\d.,'  ]*\s*(?:%|‰|[a-z]{1,4})?|[$€£]?\s?\d+|[±+\-]?\d+(?:[/:\-.]\d+)+)$", re.I)
 _LOG = re.compile(r"^\W*(?:\d{4}-\d\d-\d\d[T ]\d\d:\d\d|\d\d:\d\d:\d\d|\d{10,13}\b|\[?(?:debug|info|warn|warning|error|err|trace|fatal)\b)", re.I)
 _MACHINE = re.compile(r'^\s*[{\[<].*["=:].*[}\]>],?\s*$|^\s*(?:at [\w.$]+\(|0x[0-9a-f]{4,}|[0-9a-f]{6,8}:?\s+[0-9a-f]{2} )|^\s*[\w.\-]+\s*[=:]\s*(?:0x)?[0-9a-f]{6,}\s*$', re.I)
-_SENTENCE_END = re.compile(r"[.!?…:][\"'”’»)]*$")
-_ENDED = re.compile(r"[.!?…][\"'”’»)]*$")
+_CLOSING = "\"'”’»)"
 _INNER_STOP = re.compile(r"[^\W\d_]{2,}[.!?…][\"'”’»)]*\s+[\"'“‘«(¿¡]?[^\W\d_]")
 _LABELS = re.compile(r"\s+(?:>|›|»(?=\s+[^\s>·|])|·|•|\||/|→)\s+")
 _ODD = re.compile("[�\x80-\x9f\x00-\x08\x0b\x0e-\x1f]")
@@ -78,6 +77,12 @@ KINDS = ("list", "table", "junk")
 READINGS = ("prose", "list", "table", "odd", "repeated", "looped")
 
 
+def ended(line: str, stops: str = ".!?…") -> bool:
+    """Whether a line ends with a stop, closing quotes and brackets aside."""
+    last = line.rstrip(_CLOSING)[-1:]
+    return bool(last) and last in stops
+
+
 def common_share(words: list[str]) -> float:
     return len(list(filter(COMMON.__contains__, words))) / len(words) if words else 0.0
 
@@ -137,16 +142,16 @@ def _split_cells(s: str) -> tuple[str, int]:
     return "", 0
 
 
-def _junk_line(s: str, words: list[str], common: float) -> bool:
-    """Whether a line can't be read by anyone: symbols, encodings, dumps, navigation. ``common``: its share of common words."""
+def _junk_line(s: str, words: list[str], common: float, suspect: bool) -> bool:
+    """Whether a line can't be read by anyone: symbols, encodings, dumps, navigation. ``common``: its share of common words; ``suspect``: whether its text has odd characters."""
     tokens = s.split()
     dense = sum(map(len, tokens))
     if not dense:
         return False
-    if garbled_share(s) > 0.04:
+    if suspect and garbled_share(s) > 0.04:
         return True
-    letters, digits = sum(map(len, words)), sum(map(len, _DIGITS.findall(s)))
-    if dense >= 8 and (dense - letters - digits) / dense > 0.45:
+    letters = sum(map(len, words))
+    if dense >= 8 and dense - letters > 0.45 * dense and (dense - letters - sum(map(len, _DIGITS.findall(s)))) / dense > 0.45:
         return True
     longest = max(map(len, tokens), default=0)
     if longest >= 40 and not re.match(r"\W*(?:https?:|www\.)", max(tokens, key=len)) and longest > 0.4 * len(s):
@@ -157,7 +162,7 @@ def _junk_line(s: str, words: list[str], common: float) -> bool:
         return True
     # navigation: many short labels between separators
     labels = _LABELS.split(s.strip()) if _LABEL_SIGN.search(s) else ()
-    if len(labels) >= 5 and all(len(x.split()) <= 3 for x in labels) and not any(_SENTENCE_END.search(x) for x in labels[:-1]) and not any(_EMPTYISH.match(x.strip()) for x in labels):
+    if len(labels) >= 5 and all(len(x.split()) <= 3 for x in labels) and not any(ended(x, ".!?…:") for x in labels[:-1]) and not any(_EMPTYISH.match(x.strip()) for x in labels):
         return True
     spaced = re.split(r"\s{2,}", s.strip()) if _GAP.search(s) else ()
     if len(spaced) >= 8 and len(set(spaced)) < len(spaced) and all(len(x.split()) <= 3 for x in spaced) and not any(_EMPTYISH.match(x) for x in spaced):
@@ -219,6 +224,7 @@ def weigh(text: str) -> dict[str, int]:
     common = [common_share(w) for w in words]
     n = len(lines)
     rows = [_cells(l) for l in lines]
+    suspect = bool(_SUSPECT.search(body))
     kinds: list[str] = [""] * n
     # tables: rows beside rows with the same separator and about as many cells
     for i in range(n):
@@ -231,7 +237,7 @@ def weigh(text: str) -> dict[str, int]:
     repeats = Counter(l.strip() for l in lines)
     for i in range(n):
         if not kinds[i]:
-            if _junk_line(lines[i], words[i], common[i]):
+            if _junk_line(lines[i], words[i], common[i], suspect):
                 kinds[i] = "odd"
             elif n >= 8 and repeats[lines[i].strip()] > max(4, 0.2 * n) and len(words[i]) < 12:
                 kinds[i] = "repeated"
@@ -267,7 +273,7 @@ def weigh(text: str) -> dict[str, int]:
         while end < len(prose) and prose[end] == prose[end - 1] + 1 and (len(lines[prose[end - 1]].strip()) <= 90 or len(lines[prose[end]].strip()) <= 90):
             end += 1
         part = [w for i in prose[start:end] for w in words[i]]
-        found = _reading(part, bool(_ENDED.search(lines[prose[end - 1]].strip())))
+        found = _reading(part, ended(lines[prose[end - 1]].strip()))
         if found != "prose":
             for i in prose[start:end]:
                 kinds[i] = found
@@ -333,7 +339,7 @@ def _run(lines: list[str], words: list[list[str]], kinds: list[str], i: int, j:
     short = [k for k in range(i, j) if _item_like(lines[k].strip(), words[k])]
     stripped = [lines[k].strip() for k in range(i, j)]
     flat = [w for k in range(i, j) for w in words[k]]
-    ends = sum(bool(_ENDED.search(s)) for s in stripped)
+    ends = sum(ended(s) for s in stripped)
     inner = sum(bool(_INNER_STOP.search(s)) for s in stripped)
     mean = sum(map(len, stripped)) / len(stripped)
     if j - i >= 3 and len(short) >= 0.7 * (j - i):
@@ -343,12 +349,12 @@ def _run(lines: list[str], words: list[list[str]], kinds: list[str], i: int, j:
                 kinds[k] = "list"
             # a sentence at either end is none of the items
             for k in (i, j - 1):
-                if k not in short and _SENTENCE_END.search(lines[k].strip()):
+                if k not in short and ended(lines[k].strip(), ".!?…:"):
                     kinds[k] = "prose"
             return
     for k in range(i, j):
         s = lines[k].strip()
-        alone = not _SENTENCE_END.search(s) or s.endswith(":")
+        alone = not ended(s, ".!?…:") or s.endswith(":")
         kinds[k] = "head" if alone and len(words[k]) <= 7 and (j - i == 1 or k in (i, j - 1)) and (k == i or j - i == 1) and not (j - i > 2 and ends >= 1 and k != i) else "prose"
 
 
