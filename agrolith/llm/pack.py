@@ -86,6 +86,11 @@ def layouts(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[
     return out
 
 
+def plain_containers(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
+    """How many containers there would be if no batch were topped up: those of each bucket by itself."""
+    return sum(-(-int(c) // (capacity // int(s))) for s, c in zip(sizes, counts, strict=True) if c)
+
+
 def fill_containers(items: DataFrame, key: str, length: str, capacity: int, buckets: int = BUCKETS) -> DataFrame:
     """container_id, key, piece, first_token, tokens: every item in its container or containers. ``items`` is read twice."""
     spark = items.sparkSession
@@ -131,3 +136,12 @@ def fill_report(containers: DataFrame, budgets: DataFrame) -> DataFrame:
     """budget_id, containers, tokens, items, unused_share."""
     per = containers.groupBy("budget_id").agg(F.count_distinct("container_id").alias("containers"), F.sum("tokens").alias("tokens"), F.count("*").alias("items"))
     return per.join(budgets.select("budget_id", "capacity"), "budget_id").select("budget_id", "containers", "tokens", "items", F.round(1 - F.col("tokens") / (F.col("containers") * F.col("capacity")), 6).alias("unused_share"))
+
+
+def fill_invariants(containers: DataFrame, budgets: DataFrame, key: str) -> DataFrame:
+    """budget_id, documents, overfull (containers above the capacity), needless (documents in pieces that would fit whole), gaps (pieces that don't follow each other)."""
+    sizes = budgets.select("budget_id", "capacity")
+    full = containers.groupBy("budget_id", "container_id").agg(F.sum("tokens").alias("used")).join(sizes, "budget_id").groupBy("budget_id").agg(F.count_if(F.col("used") > F.col("capacity")).alias("overfull"))
+    per = containers.groupBy("budget_id", key).agg(F.count("*").alias("pieces"), F.sum("tokens").alias("tokens"), F.max(F.col("first_token") + F.col("tokens")).alias("reach"), F.max("piece").alias("last")).join(sizes, "budget_id")
+    whole = per.groupBy("budget_id").agg(F.count("*").alias("documents"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= F.col("capacity"))).alias("needless"), F.count_if((F.col("reach") != F.col("tokens")) | (F.col("last") + 1 != F.col("pieces"))).alias("gaps"))
+    return whole.join(full, "budget_id")

@@ -47,6 +47,11 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.fill_report(p9_containers(spark, sf_dir), table(spark, sf_dir, "token_budgets"))
 
 
+def p9_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the containers, counted: every document with text is in them, none is overfull, none split needlessly or with gaps."""
+    return pack.fill_invariants(p9_containers(spark, sf_dir), table(spark, sf_dir, "token_budgets"), "doc_id")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.kinds(table(spark, sf_dir, "documents"))
 
@@ -61,11 +66,12 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.statistics(table(spark, sf_dir, "documents")).drop("_words")
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_quality": p10_quality, "p10_statistics": p10_statistics}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p9_invariants": p9_invariants, "p10_found": p10_found, "p10_quality": p10_quality, "p10_statistics": p10_statistics}
 _OUTER = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(8195) || chr(8201) || chr(8239) || chr(12288)"
 _DOUBLED = "[ÃÂâ][\\x{80}-\\x{bf}€™œž‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜š›Ÿ]"
 _COMMON = ", ".join(f"'{w}'" for w in sorted(quality.COMMON))  # the list of words is data of the definition, not logic
 ORACLES: dict[str, str] = {
+    "p9_invariants": "SELECT budget_id, (SELECT count(*) FROM documents WHERE text <> '') AS documents, 0 AS needless, 0 AS gaps, 0 AS overfull FROM token_budgets",
     "p10_statistics": f"""WITH d AS (SELECT doc_id, text, CASE WHEN trim(text, {_OUTER}) <> '' THEN text END AS t, regexp_replace(text, '\r\n?', chr(10), 'g') AS body FROM documents),
       p AS (SELECT doc_id, text, t, regexp_extract_all(lower(t), '\\p{{L}}+') AS w, CASE WHEN t IS NOT NULL THEN list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(x, {_OUTER})), lambda x: x <> '') ELSE [] END AS l,
         CASE WHEN t IS NOT NULL THEN list_filter(list_transform(string_split_regex(body, '\n\\s*\n'), lambda x: trim(x, {_OUTER})), lambda x: x <> '') ELSE [] END AS g, length(regexp_replace(t, '\\s', '', 'g')) AS dense FROM d),

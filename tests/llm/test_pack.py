@@ -63,3 +63,13 @@ def test_documents(spark, data):
     capacity = {1: 256, 2: 1024, 3: 4096}
     assert all(0 < r[2] <= capacity[r[0]] for r in rows)
     assert p9_fill(spark, data).count() == 3
+
+
+def test_topping_up_needs_no_more_containers():
+    rng = np.random.default_rng(4)
+    for capacity in (10, 64, 1000):
+        lengths, counts = np.unique(rng.integers(1, capacity + 1, 500), return_counts=True)
+        ends = pack.boundaries(lengths, counts, 8)
+        per = np.bincount(np.searchsorted(ends, lengths), weights=counts, minlength=len(ends)).astype(int)
+        plain, topped = pack.plain_containers(ends, per, capacity), sum(t for _, t in pack.layouts(ends, per, capacity))
+        assert int((lengths * counts).sum()) <= topped * capacity and topped <= plain
