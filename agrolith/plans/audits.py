@@ -163,6 +163,38 @@ def q_catalog_errors(spark, d):
     return i.select("indicator_id", F.size(errors).alias("errors"), F.array_join(errors, ", ").alias("which"))
 
 
+def q_distinct_areas(spark, d):
+    """The subjects that any table names, blank ones aside, each with the number of tables that do."""
+    parts = [table(spark, d, t).select(F.trim("subject").alias("subject"), F.lit(t).alias("t")).distinct() for t in ("observations", "research_cells", "register_entries", "documents")]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return every.where("coalesce(subject, '') <> ''").groupBy("subject").agg(F.count_distinct("t").alias("tables"))
+
+
+def q_headline_figures(spark, d):
+    """Facts of the tables as reports write them."""
+    out = None
+    for name, key in (("observations", "obs_id"), ("research_cells", "cell_id"), ("register_entries", "entry_id"), ("documents", "doc_id")):
+        one = table(spark, d, name).agg(F.count_distinct(key).alias("n"), F.count_distinct("subject").alias("s"))
+        facts = F.array(F.struct(F.lit(f"{name} rows").alias("fact"), F.format_number("n", 0).alias("shown")), F.struct(F.lit(f"{name} subjects").alias("fact"), F.format_number("s", 0).alias("shown")))
+        one = one.select(F.inline(facts))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_edge_runtime(spark, d):
+    """Every edge from a prerequisite to a use case in each run: the prerequisite's status, and whether the edge holds the use case back."""
+    status = sc.prerequisite_status(sc.scored(table(spark, d, "observations"), table(spark, d, "indicators")))
+    edges = status.where("prerequisite like 'UC:%'").select("run_id", "subject", "indicator_id", "status", F.explode(F.split(F.regexp_replace("prerequisite", "^UC:", ""), ",")).alias("use_case"))
+    action = F.when(F.col("status") == "Absent", "gate").when(F.col("status") == "Unverified", "verify").when(F.col("status") == "Present (narrow)", "risk").otherwise("none")
+    return edges.select("run_id", "subject", "indicator_id", F.trim("use_case").alias("use_case"), "status", action.alias("action"))
+
+
+def q_first_sources(spark, d):
+    """The first four source titles of each subject and indicator, in their order, and how many more there are."""
+    c = table(spark, d, "research_cells").where("source_title is not null").groupBy("subject", "indicator_id").agg(F.array_sort(F.collect_set("source_title")).alias("t"))
+    return c.select("subject", "indicator_id", F.array_join(F.slice("t", 1, 4), " | ").alias("first"), F.greatest(F.size("t") - 4, F.lit(0)).alias("more"))
+
+
 def q_written_inventory(spark, d):
     """An inventory written as CSV and read again: guarded texts in the stable order of columns; null and empty are the same in a CSV."""
     path = sinks.scratch(spark, "inventory")
@@ -250,6 +282,11 @@ ORACLES = {
         CASE WHEN method = 'threshold' AND thresholds <> (CASE WHEN direction = 'lower' THEN list_reverse_sort(thresholds) ELSE list_sort(thresholds) END) THEN 'cuts out of order' END, CASE WHEN method = 'threshold' AND unit IS NULL THEN 'no unit' END,
         CASE WHEN method = 'threshold' AND NOT coalesce(direction IN ('higher', 'lower'), false) THEN 'no direction' END, CASE WHEN method <> 'threshold' AND unit IS NOT NULL THEN 'unit of a ladder' END, CASE WHEN retired_on <= added_on THEN 'retired before it was added' END], lambda x: x IS NOT NULL) AS l FROM indicators)
       SELECT indicator_id, CAST(len(l) AS INTEGER) AS errors, coalesce(array_to_string(l, ', '), '') AS which FROM e""",
+    "distinct_areas": "SELECT subject, count(DISTINCT t) AS tables FROM (" + " UNION ALL ".join(f"SELECT trim(subject) AS subject, '{t}' AS t FROM {t}" for t in ("observations", "research_cells", "register_entries", "documents")) + ") WHERE coalesce(subject, '') <> '' GROUP BY subject",
+    "headline_figures": " UNION ALL ".join(f"SELECT '{t} {w}' AS fact, format('{{:,}}', count(DISTINCT {k})) AS shown FROM {t}" for t, key in (("observations", "obs_id"), ("research_cells", "cell_id"), ("register_entries", "entry_id"), ("documents", "doc_id")) for w, k in (("rows", key), ("subjects", "subject"))),
+    "edge_runtime": _OBS + """, p AS (SELECT run_id, subject, indicator_id, unnest(string_split(substring(prerequisite, 4), ',')) AS use_case, CASE WHEN cls = 'Gap' OR level IS NULL THEN 'Unverified' WHEN level >= 3 THEN 'Present' WHEN level = 2 THEN 'Present (narrow)' ELSE 'Absent' END AS status FROM s WHERE prerequisite LIKE 'UC:%')
+      SELECT run_id, subject, indicator_id, trim(use_case) AS use_case, status, CASE status WHEN 'Absent' THEN 'gate' WHEN 'Unverified' THEN 'verify' WHEN 'Present (narrow)' THEN 'risk' ELSE 'none' END AS action FROM p""",
+    "first_sources": "WITH t AS (SELECT subject, indicator_id, list_sort(list(DISTINCT source_title)) AS t FROM research_cells WHERE source_title IS NOT NULL GROUP BY ALL) SELECT subject, indicator_id, array_to_string(t[1:4], ' | ') AS first, CAST(greatest(len(t) - 4, 0) AS INTEGER) AS more FROM t",
     "written_inventory": r"SELECT DISTINCT cell_id, subject, year, CASE WHEN regexp_matches(value, '^\s*[=+\-@]') THEN chr(39) || value ELSE coalesce(value, '') END AS value FROM research_cells",
     "written_assembly": _OBS + "SELECT run_id, subject, count(*) FILTER (WHERE cls = 'Gap') AS gaps, count(level) AS levels, CAST(coalesce(sum(level), 0) AS BIGINT) AS sum_of_levels FROM s GROUP BY run_id, subject HAVING count(level) > 0 OR count(*) FILTER (WHERE cls = 'Gap') > 0",
     "read_assessments": "SELECT run_id, indicator_id, value_num, CASE WHEN value_num IS NULL THEN value_text END AS value_text, CASE WHEN level_present THEN level END AS level, level_present, year FROM (SELECT * FROM observations QUALIFY row_number() OVER (PARTITION BY run_id, indicator_id ORDER BY obs_id) = 1)",

@@ -81,6 +81,29 @@ def read_zipped_csv(spark: SparkSession, path: str, columns: list[str]) -> DataF
     return files.mapInPandas(rows, ", ".join(f"`{c}` string" for c in columns))
 
 
+def read_alias(spark: SparkSession, path: str, legacy: str) -> str | None:
+    """The text of a file under its name or its former name; None if neither is there. If both are, they must be the same JSON."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    texts = []
+    for p in (path, legacy):
+        target = jvm.org.apache.hadoop.fs.Path(p)
+        if target.getFileSystem(conf).exists(target):
+            texts.append(spark.read.text(p, wholetext=True).first()[0])
+    if len(texts) == 2 and json.loads(texts[0]) != json.loads(texts[1]):
+        raise ValueError(f"{path} and {legacy} differ")
+    return texts[0] if texts else None
+
+
+def hosts_by_label(pages: DataFrame, html: str, least: int = 1) -> DataFrame:
+    """label, hosts: the hosts that links of each label lead to, each once; an error if there are fewer than ``least`` labels, as a page that changed its form would give."""
+    link = r"(?is)<a\b[^>]*?href=[\"']https?://([^/\"':?#]+)[^>]*>\s*([^<]+?)\s*</a>"
+    pairs = pages.select(F.explode(F.arrays_zip(F.regexp_extract_all(html, F.lit(link), 1).alias("host"), F.regexp_extract_all(html, F.lit(link), 2).alias("label"))).alias("p"))
+    out = pairs.groupBy("p.label").agg(F.array_sort(F.collect_set(F.regexp_replace(F.lower("p.host"), r"^www\.", ""))).alias("hosts"))
+    if least > 1 and len(out.limit(least).collect()) < least:
+        raise ValueError(f"fewer than {least} labels")
+    return out
+
+
 def latest_value(series: DataFrame, keys: list[str], year: str = "year", value: str = "value") -> DataFrame:
     """The latest non-blank value of each key (greatest year, then greatest value)."""
     best = series.where(F.trim(F.coalesce(F.col(value).cast("string"), F.lit(""))) != "").groupBy(*keys).agg(F.max(F.struct(F.col(year).cast("int").alias(year), F.col(value))).alias("b"))

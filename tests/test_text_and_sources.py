@@ -129,3 +129,32 @@ def test_flatten_to_leaves(spark, tmp_path):
     from sqlcheck import same_as_sql
 
     same_as_sql(spark, str(tmp_path), q_flatten_leaves, ORACLES["flatten_leaves"])
+
+
+def test_alias_and_hosts(spark, tmp_path):
+    from agrolith.sources import files
+
+    new, old = tmp_path / "new.json", tmp_path / "old.json"
+    assert files.read_alias(spark, str(new), str(old)) is None
+    old.write_text('{"a": 1, "b": 2}')
+    assert files.read_alias(spark, str(new), str(old)) == '{"a": 1, "b": 2}'
+    new.write_text('{"b": 2, "a": 1}')
+    assert files.read_alias(spark, str(new), str(old)) == '{"b": 2, "a": 1}'
+    new.write_text('{"a": 3}')
+    with pytest.raises(ValueError, match="differ"):
+        files.read_alias(spark, str(new), str(old))
+    html = '<a href="https://www.Stats.example/x">Xland</a> <A class="k" href=\'http://stats.example:80/y?q\'> Xland </A><a href="https://o.example">Yland</a><a href="/local">no</a>'
+    got = {r["label"]: r["hosts"] for r in files.hosts_by_label(spark.createDataFrame([(html,), (None,)], "h string"), "h").collect()}
+    assert got == {"Xland": ["stats.example"], "Yland": ["o.example"]}
+    with pytest.raises(ValueError, match="fewer"):
+        files.hosts_by_label(spark.createDataFrame([(html,)], "h string"), "h", least=100)
+
+
+def test_an_assessment_must_be_complete(spark):
+    from agrolith.sources import files
+
+    catalog = spark.createDataFrame([("1.1",), ("1.2",)], "indicator_id string")
+    full = spark.createDataFrame([("X", "1.1"), ("X", "1.2")], "subject string, indicator_id string")
+    assert files.complete_observations(full, catalog).count() == 2
+    with pytest.raises(ValueError, match="1.2 for X"):
+        files.complete_observations(full.limit(1), catalog)
