@@ -5,7 +5,8 @@ Defined results: null, blank and wordy values (sentences, "n/a", "-") give no ro
 row; a value whose unit measures another quantity than the default unit gives no row, nor does one without default unit;
 repeated rows give repeated results; ties don't occur, as every step is a function of the row; of several remarks in one text
 the first counts. Texts of any length are read, in time in proportion to their length; a number of more than 28 digits, or with
-more than eight hedging words in a row, is no quantity. Converted values have nine decimals.
+more than eight hedging words in a row, is no quantity. Converted values have nine decimals,
+and are exact to them below 10^14.
 """
 
 from __future__ import annotations
@@ -216,6 +217,9 @@ def normalise_units(rows: DataFrame, factors: DataFrame, key: str, value: str, u
     quotient = F.format_string("%.14e", F.col("u.factor") * F.col("scale") / F.col("_target_factor")).try_cast("decimal(38,12)")
     ratio = F.when(F.col("_target_factor") == 1, product.try_cast("decimal(38,12)")).otherwise(quotient).try_cast("decimal(26,12)")
     shift = ((F.col("u.offset") - F.col("_target_offset")) / F.col("_target_factor")).cast("decimal(24,9)")
-    base_value = (F.col("number").try_cast("decimal(24,10)") * ratio + shift).try_cast("decimal(38,9)")
+    exact = (F.col("number").try_cast("decimal(24,10)") * ratio + shift).try_cast("decimal(38,9)")
+    # beyond fourteen digits before the point, by doubles
+    rough = (F.col("number").cast("double") * F.col("u.factor") * F.col("scale") + F.col("u.offset") - F.col("_target_offset")) / F.col("_target_factor")
+    base_value = F.coalesce(exact, rough.try_cast("decimal(38,9)"))
     # a generator instead of a filter: Catalyst would push a filter, and with it copies of all expressions, below the join
     return picked.select(F.inline(F.when(F.col("scale").isNotNull() & base_value.isNotNull(), F.array(F.struct(F.col("_key").alias(key), "number", "source", base_value.alias("base_value"))))))

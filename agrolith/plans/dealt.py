@@ -32,7 +32,9 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     indicators = table(spark, sf_dir, "indicators").where("unit is not null").select("indicator_id", F.col("unit").alias("default_unit"))
     rows = cells.join(indicators, "indicator_id")
     out = units.normalise_units(rows, table(spark, sf_dir, "unit_factors"), "cell_id", "value", "value_unit", "notes", "default_unit")
-    return out.select("cell_id", F.floor(F.col("base_value") * 1000 + F.lit("0.5").cast("decimal(3,1)")).cast("bigint").alias("value_milli"))
+    milli = F.floor(F.col("base_value").try_cast("decimal(32,9)") * 1000 + F.lit("0.5").cast("decimal(3,1)")).try_cast("bigint")
+    # a value that is no bigint in thousandths has no place in the result
+    return out.where("abs(base_value) < 9.2e15").select("cell_id", milli.alias("value_milli"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

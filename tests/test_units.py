@@ -12,7 +12,7 @@ CASES = [
     # the remark anywhere in the notes, in names with stops too; other sentences with the same words are no remarks
     ("569.9", None, "The rest was drawn by hand in 2019. NB: basis points, not converted.", "%", 5699), ("3.37 bn", None, "Wait for the next season. Figure given in XKL.", "USD", 2156800000), ("3.37 bn", None, "It rained. Figure given in U.S. dollars. The council met.", "USD", 3370000000000),
     ("5", None, "First.\nUnit as published: ‰. Then it rained.", "%", 500), ("5", None, "Losses were reported in bp. We saw 5 of them.", "%", 5000), ("5", None, "The ledger is kept in XKL.", "USD", 5000), ("7", None, "Figure given in bp; see the annex.", "%", 70), ("7", None, "NB: old data. Figure given in bp.", "%", 7000),
-    ("2.5" + " " * 300 + "(" + "as read by the council " * 40 + ")", "m", None, "mm", 2500000), ("0.0000015 bn", "XKL", None, "USD", 960), ("1,248,964,784,875", "XKL", None, "USD", 799337462320), ("0.123456", "bp", None, "%", 1),
+    ("2.5" + " " * 300 + "(" + "as read by the council " * 40 + ")", "m", None, "mm", 2500000), ("0.0000015 bn", "XKL", None, "USD", 960), ("1,248,964,784,875", "XKL", None, "USD", 799337462320), ("0.123456", "bp", None, "%", 1), ("1,248,964,784,875,000", None, None, "USD", 1248964784875000000), ("7000 tn", None, None, "USD", 7 * 10**18), ("5" + "0" * 24, None, None, "USD", 5 * 10**27), ("9" * 29, None, None, "USD", None),
     ("1," * 20000, None, None, "%", None), ("about " * 5000 + "5", None, None, "%", None), ("5 " + "(" * 30000, None, None, "%", None), ("x" * 100000 + " 5", None, None, "%", None),
     ("n/a", None, None, "%", None), ("-", None, None, "%", None), (None, None, None, "%", None), ("", "%", None, "%", None), ("DATA GAP — 5 of 7 plots were seen.", None, None, "%", None), ("5 to 7", None, None, "%", None), ("5 bananas", None, None, "%", None), ("9" * 5000, None, None, "%", None), ("5 kg/ha", None, None, "%", None),
 ]
@@ -68,3 +68,13 @@ def test_plain_numbers_of_the_tables(spark, data):
             seen += 1
             assert got[r["cell_id"]] == int((slow_number(r["value"]) * 1000).to_integral_value(ROUND_HALF_UP))
     assert seen > 10
+
+
+def test_values_too_great_for_the_result_are_left_out(spark, tmp_path):
+    from agrolith.plans.dealt import p3_found
+
+    cells = [(1, "a", "9" * 20, None, None), (2, "a", "9" * 26, "XKL", None), (3, "a", "9,000,000,000,000,000", None, None), (4, "a", "12", None, "Figure given in XKL."), (4, "a", "12", None, "Figure given in XKL."), (5, None, "1", None, None)]
+    spark.createDataFrame(cells, "cell_id bigint, indicator_id string, value string, value_unit string, notes string").write.parquet(f"{tmp_path}/research_cells.parquet")
+    spark.createDataFrame([("a", "USD"), ("b", None)], "indicator_id string, unit string").write.parquet(f"{tmp_path}/indicators.parquet")
+    spark.createDataFrame(FACTORS, "unit string, quantity string, base_unit string, factor double").write.parquet(f"{tmp_path}/unit_factors.parquet")
+    assert sorted(map(tuple, p3_found(spark, str(tmp_path)).collect())) == [(3, 9 * 10**18), (4, 8)]
